@@ -42,7 +42,7 @@ def amendments(stage) -> DataFrame:
 
 
 def fact(i: Inputs, stage=None) -> DataFrame:
-    stage = stage or i.staged()
+    stage = i.staged() if stage is None else stage
     return cut_lineage(grants.convenios(stage, bridge(stage)))
 
 

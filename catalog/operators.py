@@ -37,7 +37,7 @@ from (select *, [{quoted(_INJECTED)}][cast(ID_LICITACAO as bigint) % {len(_INJEC
 def _(i: Inputs):
     token = pick(_INJECTED, F.col("ID_LICITACAO").cast("long") % len(_INJECTED))
     rows = i.raw("licitacoes").select("ID_LICITACAO", token.alias("STATUS_LICITACAO"), "VALOR_LICITACAO")
-    return texts.on_text_columns(rows, texts.null_if_token)
+    return texts.null_tokens(rows)
 
 
 @query("s3_column_pruning", "select l_orderkey, l_returnflag from lineitem")
@@ -76,7 +76,7 @@ def _(i: Inputs):
 
 
 def _last_day(i: Inputs, name: str, column: str):
-    return i.__getattr__(name).agg(F.max(F.col(column).cast("date")).alias("day"))
+    return i.table(name).agg(F.max(F.col(column).cast("date")).alias("day"))
 
 
 @query("s8_snapshot_round_trip", "select * from s_desembolsos")
@@ -121,7 +121,7 @@ union all select 'lineitem', max(cast(l_shipdate as date)), count(*) from lineit
 def _(i: Inputs):
     store = Snapshots(i.spark, i.scratch())
     for name, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
-        store.write(i.__getattr__(name), "stage", name, _last_day(i, name, column).first()["day"])
+        store.write(i.table(name), "stage", name, _last_day(i, name, column).first()["day"])
     return store.current("stage").select("table_name", "snapshot_date", "row_count")
 
 
@@ -514,7 +514,7 @@ _COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "linei
 
 @query("a10_row_counts", " union all ".join(f"select '{t}' table_name, count(*) \"rows\" from {t}" for t in _COUNTED))
 def _(i: Inputs):
-    return tables.row_counts({t: i.__getattr__(t) for t in _COUNTED})
+    return tables.row_counts({t: i.table(t) for t in _COUNTED})
 
 
 # ------------------------------------------------------------------ ranks

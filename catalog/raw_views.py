@@ -3,7 +3,9 @@ decimal commas, and the nulls, orphans and odd codes the cleaning rules are ther
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outorga.schemas import STAGE_COLUMNS
@@ -16,10 +18,6 @@ STATES = [
 REGIONS = ["norte", "nordeste", "centro_oeste", "sudeste", "sul"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def day_text(c: Column | str, plus: int = 0) -> Column:
     day = (F.col(c) if isinstance(c, str) else c).cast("date")
     return F.date_format(F.date_add(day, plus), "dd/MM/yyyy")
@@ -35,7 +33,7 @@ def every(c: str, n: int, remainder: int = 0) -> Column:
 
 
 def pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
+    return F.element_at(F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")"), (index + 1).cast("int"))
 
 
 def text(c: Column | str) -> Column:
@@ -196,10 +194,18 @@ VIEWS = {
 }
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return VIEWS[name](lambda t: table(spark, sf_dir, t)).select(*STAGE_COLUMNS[name])
+def raw(table: Callable[[str], DataFrame], name: str) -> DataFrame:
+    """A raw view over the typed tables that ``table`` reads by name."""
+    return VIEWS[name](table).select(*STAGE_COLUMNS[name])
+
+
+class Staged(dict):
+    """Raw views with the staging rules applied, each planned when first asked for."""
 
+    def __init__(self, table: Callable[[str], DataFrame]) -> None:
+        super().__init__()
+        self.table = table
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All raw views with the staging rules applied."""
-    return {name: clean_stage(raw(spark, sf_dir, name), name) for name in VIEWS}
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = clean_stage(raw(self.table, name), name)
+        return self[name]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.raw_views import raw, staged, table
+from catalog.raw_views import Staged, raw
 from catalog.views_sql import with_ctes
 from outorga.session import tune
 
@@ -22,15 +22,21 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        return self.table(name)
 
     def raw(self, name: str) -> DataFrame:
-        return raw(self.spark, self.sf_dir, name)
+        return raw(self.table, name)
 
-    def staged(self) -> dict[str, DataFrame]:
-        return staged(self.spark, self.sf_dir)
+    def staged(self) -> Staged:
+        return Staged(self.table)
 
     def scratch(self) -> str:
         """A new folder to write to: below the cluster's shared folder if it names one."""
@@ -45,13 +51,11 @@ class Inputs:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and integers as bigint, the form both engines agree on."""
+    """Decimals as doubles, the form both engines agree on."""
 
     def plain(f: T.StructField):
         if isinstance(f.dataType, T.DecimalType):
             return F.col(f.name).cast("double").alias(f.name)
-        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            return F.col(f.name).cast("long").alias(f.name)
         return F.col(f.name)
 
     return df.select(*[plain(f) for f in df.schema.fields])

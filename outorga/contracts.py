@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from outorga.functions.labels import lookup
 from outorga.operators.joins import drop_known
 from outorga.operators.tables import union_all
 from outorga.schemas import CONTRACTS, REFERENCES
@@ -32,9 +33,7 @@ def longest_texts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def overlong(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Columns whose longest text exceeds its limit."""
-    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    rows = longest_texts(df, list(limits)).withColumn(
-        "length_limit", F.element_at(limit, F.col("column_name")).cast("long"))
+    rows = longest_texts(df, list(limits)).withColumn("length_limit", lookup(limits, F.col("column_name")))
     return rows.where("max_length > length_limit")
 
 

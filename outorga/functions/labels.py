@@ -9,10 +9,15 @@ from outorga import fixed
 from outorga.functions.text import padded_label
 
 
+def literal_map(table: dict) -> Column:
+    """A fixed table as one map literal (values are texts or whole numbers)."""
+    entries = [str(x) if isinstance(x, int) else f"'{x}'" for pair in table.items() for x in pair]
+    return F.expr(f"map({', '.join(entries)})")
+
+
 def lookup(table: dict, c: Column) -> Column:
     """Look ``c`` up in a small fixed table held as a map literal; missing -> null."""
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), c)
+    return F.try_element_at(literal_map(table), c)
 
 
 def region_code(region: Column) -> Column:
@@ -23,12 +28,16 @@ def state_region(state: Column) -> Column:
     return lookup({uf: region for region, ufs in fixed.REGION_STATES.items() for uf in ufs}, state)
 
 
+def _literal_array(texts: list[str]) -> Column:
+    return F.expr("array(" + ", ".join(f"'{t}'" for t in texts) + ")")
+
+
 def month_name(day: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, fixed.MONTHS)), F.month(day))
+    return F.element_at(_literal_array(fixed.MONTHS), F.month(day))
 
 
 def weekday_name(day: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, fixed.WEEKDAYS)), F.weekday(day) + 1)
+    return F.element_at(_literal_array(fixed.WEEKDAYS), F.weekday(day) + 1)
 
 
 def calendar_columns(day: Column) -> dict[str, Column]:

@@ -34,7 +34,7 @@ def _rule_table(rules: list[Rule]) -> Column:
 
     def entry(r: Rule) -> str:
         exceptions = f"array({', '.join(map(_text, r.exceptions))})" if r.exceptions else "cast(array() as array<string>)"
-        return (f"named_struct('suffix', {_text(r.suffix)}, 'least', {r.least}, "
+        return (f"named_struct('suffix', {_text(r.suffix)}, 'cut', {len(r.suffix)}, 'shortest', {len(r.suffix) + r.least}, "
                 f"'replacement', {_text(r.replacement)}, 'exceptions', {exceptions})")
 
     cells = [f"{_text(letter)}, array({', '.join(map(entry, group))})" for letter, group in by_letter.items()]
@@ -44,12 +44,13 @@ def _rule_table(rules: list[Rule]) -> Column:
 def _reduced(word: Column, table: Column) -> Column:
     """The word after the first rule that applies; null if none does."""
     candidates = F.try_element_at(table, F.right(word, F.lit(1)))
-    first = F.try_element_at(F.filter(candidates, lambda r: (
+    hits = F.filter(candidates, lambda r: (
         word.endswith(r["suffix"])
-        & (F.length(word) >= F.length(r["suffix"]) + r["least"])
-        & ~F.array_contains(r["exceptions"], word))), F.lit(1))
-    kept = F.left(word, F.length(word) - F.length(first["suffix"]))
-    return F.concat(kept, first["replacement"])
+        & (F.length(word) >= r["shortest"])
+        & ~F.array_contains(r["exceptions"], word)))
+    cut = F.transform(F.slice(hits, 1, 1), lambda r: F.concat(
+        F.left(word, F.length(word) - r["cut"]), r["replacement"]))
+    return F.try_element_at(cut, F.lit(1))
 
 
 def stems(words: Column, rules: list[Rule] | None = None) -> Column:
@@ -63,5 +64,9 @@ def stems(words: Column, rules: list[Rule] | None = None) -> Column:
     for group in ((0,), (1,), (3,), (2,), (4, 5, 6)):
         steps = [s for s in group if s in table]
         if steps:
-            words = F.transform(words, lambda w, steps=steps: F.coalesce(*[_reduced(w, table[s]) for s in steps], w))
+            words = F.transform(words, _one_of([table[s] for s in steps]))
     return words
+
+
+def _one_of(tables: list[Column]):
+    return lambda w: F.coalesce(*[_reduced(w, t) for t in tables], w)

@@ -19,8 +19,15 @@ def on_text_columns(df: DataFrame, fn, columns: list[str] | None = None) -> Data
     return df.select(*[fn(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns])
 
 
-def null_if_token(c: Column) -> Column:
-    return F.when(~c.isin(fixed.NULL_TOKENS), c)
+NULL_TOKEN_LIST = ", ".join(f"'{token}'" for token in fixed.NULL_TOKENS)
+
+
+def null_tokens(df: DataFrame) -> DataFrame:
+    """Turn the null tokens of every text column into null."""
+    chosen = set(text_columns(df))
+    return df.selectExpr(*[
+        f"case when `{c}` not in ({NULL_TOKEN_LIST}) then `{c}` end as `{c}`" if c in chosen else f"`{c}`"
+        for c in df.columns])
 
 
 def strip(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outorga import fixed
+from outorga.functions.labels import lookup
 from outorga.functions.text import yes_no
 from outorga.functions.values import day_first_date
 
@@ -72,6 +73,5 @@ def correct_dates(df: DataFrame, grant: str, date: str, corrections: DataFrame)
 def bad_suffix_date(text: Column, suffixes: dict[str, int] | None = None) -> Column:
     """1 January of the year a known bad year suffix stands for; null for any other text."""
     table = fixed.BAD_YEAR_SUFFIXES if suffixes is None else suffixes
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    year = F.try_element_at(F.create_map(*entries), F.right(text, F.lit(5)))
+    year = lookup(table, F.right(text, F.lit(5)))
     return F.make_date(year, F.lit(1), F.lit(1))

@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
-    PCA, FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
+    PCA, CountVectorizerModel, FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,6 +87,7 @@ class RiskModel:
     def save(self, spark: SparkSession, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         self.texts.model.write().overwrite().save(f"{path}/clusters")
+        self.texts.counter.write().overwrite().save(f"{path}/columns")
         spec = self.texts.spec
         text = json.dumps({
             "k": spec.k, "seed": spec.seed, "width": spec.width, "stop_words": spec.stop_words,
@@ -97,7 +98,9 @@ class RiskModel:
     def load(spark: SparkSession, path: str) -> "RiskModel":
         spec = json.loads(spark.read.text(f"{path}/texts").first()["value"])
         scale = spec.pop("scale")
-        texts = TextClusters(TextClusterer(**spec), scale, KMeansModel.load(f"{path}/clusters"))
+        texts = TextClusters(
+            TextClusterer(**spec), CountVectorizerModel.load(f"{path}/columns"), scale,
+            KMeansModel.load(f"{path}/clusters"))
         return RiskModel(texts, PipelineModel.load(f"{path}/pipeline"))
 
 

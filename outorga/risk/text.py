@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
@@ -53,24 +53,25 @@ class TextClusterer:
     plain: str = PLAIN
 
     def columns(self, text: str) -> Column:
-        """Hashed column numbers of the stems of a text, as an array of strings."""
+        """Hashed column names of the stems of a text."""
         words = stems(tokens(F.col(text), self.stop_words, self.accented, self.plain))
         words = F.filter(words, lambda w: F.length(w) > 1)
         return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(self.width)).cast("string"))
 
-    def _counts(self, docs: DataFrame, text: str) -> DataFrame:
-        terms = docs.withColumn("_terms", F.coalesce(self.columns(text), F.array().cast("array<string>")))
-        names = [str(i) for i in range(self.width)]
-        return CountVectorizerModel.from_vocabulary(names, inputCol="_terms", outputCol="_tf").transform(terms)
+    def _counter(self, spark: SparkSession) -> CountVectorizerModel:
+        """Counts terms per column; its vocabulary is the ``width`` column names."""
+        names = spark.range(self.width).select(F.array(F.col("id").cast("string")).alias("_terms"))
+        return CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=self.width, minDF=0).fit(names)
 
     def fit(self, docs: DataFrame, text: str) -> "TextClusters":
-        counts = self._counts(docs, text)
-        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts.select("_tf"))
-        scale = [float(i) + 1.0 if n > 0 else 0.0 for i, n in zip(idf.idf.toArray(), idf.docFreq)]
-        clusters = TextClusters(self, scale, None)
-        points = clusters.vectors(docs.select(text), text)
+        clusters = TextClusters(self, self._counter(docs.sparkSession), [], None)
+        counts = clusters.counts(docs.select(text), text).select("_tf").persist()  # several passes follow
+        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts)
+        clusters.scale = [float(i) + 1.0 if n > 0 else 0.0 for i, n in zip(idf.idf.toArray(), idf.docFreq)]
+        points = clusters.weighted(counts).select("_vector")
         clusters.model = KMeans(
             k=self.k, seed=self.seed, featuresCol="_vector", predictionCol="cluster").fit(points)
+        counts.unpersist()
         return clusters
 
     def fit_predict(self, docs: DataFrame, text: str) -> DataFrame:
@@ -82,48 +83,53 @@ class TextClusterer:
 
 @dataclass
 class TextClusters:
+    """Fitted clusters. ``scale`` is idf + 1 per column, in the counter's column order."""
+
     spec: TextClusterer
+    counter: CountVectorizerModel
     scale: list[float]
     model: KMeansModel | None
 
-    def vectors(self, docs: DataFrame, text: str) -> DataFrame:
+    def counts(self, docs: DataFrame, text: str) -> DataFrame:
+        none = F.array().cast("array<string>")
+        return self.counter.transform(docs.withColumn("_terms", F.coalesce(self.spec.columns(text), none)))
+
+    def weighted(self, counts: DataFrame) -> DataFrame:
+        """Append TF-IDF vectors of unit length."""
         scaled = ElementwiseProduct(
-            scalingVec=Vectors.dense(self.scale), inputCol="_tf", outputCol="_scaled").transform(
-            self.spec._counts(docs, text))
-        return Normalizer(p=2.0, inputCol="_scaled", outputCol="_vector").transform(scaled).drop(
-            "_terms", "_tf", "_scaled")
+            scalingVec=Vectors.dense(self.scale), inputCol="_tf", outputCol="_scaled").transform(counts)
+        return Normalizer(p=2.0, inputCol="_scaled", outputCol="_vector").transform(scaled).drop("_scaled")
 
     def predict(self, docs: DataFrame, text: str) -> DataFrame:
         """Append the number of the nearest centre."""
-        return self.model.transform(self.vectors(docs, text)).drop("_vector")
+        return self.model.transform(self.weighted(self.counts(docs, text))).drop("_terms", "_tf", "_vector")
 
-    def predict_one(self, docs: DataFrame, text: str) -> int:
-        """Cluster of a single-row frame."""
-        return self.predict(docs.limit(1), text).first()["cluster"]
+    def predict_text(self, spark: SparkSession, text: str) -> int:
+        """Cluster of one text."""
+        return self.predict(spark.createDataFrame([(text,)], "text string"), "text").first()["cluster"]
 
     def distances(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         """(key, distances): Euclidean distance of each document to every centre.
 
         In long form: the non-zero weights of a document meet the ``width`` rows of the centre
         table, and |x - c|^2 = |x|^2 - 2 x.c + |c|^2 takes one sum per centre."""
-        spark = docs.sparkSession
         centres = [c.tolist() for c in self.model.clusterCenters()]
-        rows = [(str(i), self.scale[i], [c[i] for c in centres]) for i in range(self.spec.width)]
-        table = spark.createDataFrame(rows, "column string, scale double, centre array<double>")
-        norms = [sum(x * x for x in c) for c in centres]
+        rows = zip(self.counter.vocabulary, self.scale, map(list, zip(*centres)))
+        table = docs.sparkSession.createDataFrame(rows, "column string, scale double, centre array<double>")
 
         terms = docs.select(key, F.explode_outer(self.spec.columns(text)).alias("column"))
         counts = terms.groupBy(key, "column").agg(F.count("column").alias("tf"))
         # The centre table has exactly ``width`` rows of k numbers.
         weights = counts.join(F.broadcast(table), "column", "left").withColumn(
             "w", F.coalesce(F.col("tf") * F.col("scale"), F.lit(0.0)))
-        dots = [F.coalesce(F.sum(F.col("w") * F.col("centre")[j]), F.lit(0.0)).alias(f"d{j}") for j in range(len(centres))]
+        dots = [F.coalesce(F.sum(F.col("w") * F.col("centre")[j]), F.lit(0.0)).alias(f"d{j}")
+                for j in range(len(centres))]
         sums = weights.groupBy(key).agg(F.sum(F.col("w") * F.col("w")).alias("xx"), *dots)
-        length = F.sqrt("xx")
+        known = F.col("xx") > 0  # a document without terms is the zero vector
 
         def distance(j: int) -> Column:
-            unit = F.when(F.col("xx") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-            dot = F.when(F.col("xx") > 0, F.col(f"d{j}") / length).otherwise(F.lit(0.0))
-            return F.sqrt(F.greatest(unit - 2 * dot + norms[j], F.lit(0.0)))
+            squared = sum(x * x for x in centres[j])
+            gap = F.when(known, 1 - 2 * F.col(f"d{j}") / F.sqrt("xx")).otherwise(0.0)
+            return F.sqrt(F.greatest(gap + squared, F.lit(0.0)))
 
         return sums.select(key, F.array(*[distance(j) for j in range(len(centres))]).alias("distances"))

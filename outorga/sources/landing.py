@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outorga.functions.text import null_if_token, on_text_columns
+from outorga.functions.text import null_tokens
 from outorga.functions.values import day_first_date
 
 
@@ -22,7 +22,7 @@ def read_raw(
     reader = spark.read.options(
         header=True, sep=sep, quote='"', escape='"', encoding=encoding, multiLine=multi_line,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return on_text_columns(reader.csv(path).select(*columns), null_if_token)
+    return null_tokens(reader.csv(path).select(*columns))
 
 
 def read_zipped(
@@ -70,7 +70,7 @@ def read_zipped(
     archives = spark.read.format("binaryFile").load(path).select("path", "content")
     # One archive per task: archives are few and large.
     archives = archives.repartition(F.col("path")).select("content")
-    return on_text_columns(archives.mapInArrow(records, schema), null_if_token)
+    return null_tokens(archives.mapInArrow(records, schema))
 
 
 def load_date(df: DataFrame, column: str) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outorga.functions.text import null_if_token, on_text_columns, strip, without_tilde_no
+from outorga.functions.text import null_tokens, on_text_columns, strip, without_tilde_no
 from outorga.schemas import STAGE_NOT_DISTINCT, STAGE_REQUIRED
 
 
 def clean_stage(raw: DataFrame, table: str) -> DataFrame:
     """Null tokens to null, required fields, trim, then distinct, so padded copies fold too."""
-    df = on_text_columns(raw, null_if_token)
+    df = null_tokens(raw)
     if table in STAGE_REQUIRED:
         df = df.dropna(subset=STAGE_REQUIRED[table])
     if table == "convenios":
