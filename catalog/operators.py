@@ -599,14 +599,14 @@ def _(i: Inputs):
 
 
 @query("k1_dense_ids", """
-select row_number() over (order by substr(md5(concat_ws('|', p_name, p_brand, p_type, '0')), 1, 3), p_name, p_brand, p_type) id, p_name, p_brand, p_type
+select row_number() over (order by substr(md5(concat_ws('|', p_name, p_brand, p_type, '0')), 1, 4), p_name, p_brand, p_type) id, p_name, p_brand, p_type
 from (select distinct p_name, p_brand, p_type from part)""")
 def _(i: Inputs):
     return keys.dense_ids(i.part.select("p_name", "p_brand", "p_type").distinct(), "id", ["p_name", "p_brand", "p_type"], unique=True)
 
 
 @query("k2_ledger_line_ids", """
-select row_number() over (order by substr(md5(concat_ws('|', cast(l_shipdate as varchar), l_returnflag, cast(l_suppkey as varchar), cast(copy // 5 as varchar))), 1, 3),
+select row_number() over (order by substr(md5(concat_ws('|', cast(l_shipdate as varchar), l_returnflag, cast(l_suppkey as varchar), cast(copy // 5 as varchar))), 1, 4),
   l_shipdate, l_returnflag, l_suppkey, copy) id, l_shipdate, l_returnflag, l_suppkey
 from (select *, row_number() over (partition by l_shipdate, l_returnflag, l_suppkey) - 1 copy
   from (select case when l_linenumber % 2 = 0 then null else cast(l_shipdate as date) end l_shipdate, l_returnflag, l_suppkey from lineitem))""")

@@ -221,7 +221,7 @@ CTES["x_suppliers"] = f"""
 select distinct upper(coalesce(IDENTIF_FORNECEDOR, '{fixed.UNSPECIFIED_F}')) IDENTIF_FORNECEDOR,
   upper(coalesce(NOME_FORNECEDOR, '{fixed.UNSPECIFIED_M}')) NOME_FORNECEDOR from x_paid where {money('VL_PAGO')} <> 0"""
 CTES["m_fornecedores"] = f"""
-select row_number() over (order by substr(md5(concat_ws('|', IDENTIF_FORNECEDOR, NOME_FORNECEDOR, '0')), 1, 3),
+select row_number() over (order by substr(md5(concat_ws('|', IDENTIF_FORNECEDOR, NOME_FORNECEDOR, '0')), 1, 4),
   IDENTIF_FORNECEDOR, NOME_FORNECEDOR) FORNECEDOR_ID, IDENTIF_FORNECEDOR, NOME_FORNECEDOR from x_suppliers
 union all select -1, '{fixed.NO_MEMBER}', '{fixed.NO_MEMBER}'"""
 
@@ -255,7 +255,7 @@ select * from x_leg_aif union all select * from x_leg_d union all select * from
 union all select * from x_leg_p union all select * from x_leg_t"""
 CTES["m_movimento"] = """
 select row_number() over (order by substr(md5(concat_ws('|', cast(DATA_MOV as varchar), TIPO_MOV, cast(NR_CONVENIO as varchar),
-    cast(FORNECEDOR_ID as varchar), cast(VALOR_MOV as varchar), cast(copy // 10000 as varchar))), 1, 3),
+    cast(FORNECEDOR_ID as varchar), cast(VALOR_MOV as varchar), cast(copy // 10000 as varchar))), 1, 4),
   DATA_MOV nulls last, TIPO_MOV, NR_CONVENIO nulls last, FORNECEDOR_ID, VALOR_MOV nulls last, copy) MOV_ID,
   NR_CONVENIO, DATA_MOV, VALOR_MOV, TIPO_MOV, FORNECEDOR_ID
 from (select *, row_number() over (partition by NR_CONVENIO, DATA_MOV, VALOR_MOV, TIPO_MOV, FORNECEDOR_ID) - 1 copy from x_ledger)"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 def dense_ids(
-    df: DataFrame, name: str, keys: list[str], unique: bool = False, hex_digits: int = 3, run: int = 10_000,
+    df: DataFrame, name: str, keys: list[str], unique: bool = False, hex_digits: int = 4, run: int = 10_000,
 ) -> DataFrame:
     """Number the rows 1..n by (bucket, keys), where the bucket is a prefix of the keys' MD5.
 
