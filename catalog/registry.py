@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from catalog.raw_views import Staged, raw
 from catalog.views_sql import with_ctes
-from outorga.session import tune
+from outorga.session import spread, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,7 +26,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._tables[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:

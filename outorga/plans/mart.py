@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
 from outorga.risk.model import RiskModel, score_live
 from outorga.schemas import COMMA_SEPARATED, STAGE_COLUMNS
+from outorga.session import spread
 from outorga.sources.gates import RUN, freshness, stale_tables
 from outorga.sources.landing import read_raw, read_zipped
 from outorga.sources.snapshots import Snapshots
 from outorga.sources.stage import clean_stage
 
-STAGE, MART = "stage", "mart"
+STAGE, WORK, MART = "stage", "work", "mart"
 REPORT = "step string, table_name string, rows long"
 
 
 def read_landing(spark: SparkSession, path: str, table: str) -> DataFrame:
     sep = "," if table in COMMA_SEPARATED else ";"
     read = read_zipped if path.endswith(".zip") else read_raw
-    return read(spark, path, STAGE_COLUMNS[table], sep=sep)
+    return spread(read(spark, path, STAGE_COLUMNS[table], sep=sep))
 
 
 def stage(
@@ -34,9 +35,9 @@ def stage(
     names = {r["table_name"] for r in due.collect()}
     report = []
     for table, path in landing.items():
-        rows = store.write(clean_stage(read_landing(spark, path, table), table), STAGE, table, day) \
-            if table in names else None
-        report.append((STAGE, table, rows))
+        if table in names:
+            written = store.write(clean_stage(read_landing(spark, path, table), table), STAGE, table, day)
+            report.append((STAGE, table, written.rows))
     return spark.createDataFrame(report, REPORT)
 
 
@@ -46,15 +47,15 @@ def build(spark: SparkSession, store: Snapshots, day: dt.date, model: RiskModel
     raw = store.read_zone(STAGE)
     report = []
 
-    def put(table: str, df: DataFrame) -> DataFrame:
-        report.append((MART, table, store.write(df, MART, table, day)))
-        return store.read(MART, table)
+    def put(table: str, df: DataFrame, zone: str = MART) -> DataFrame:
+        written = store.write(df, zone, table, day)
+        report.append((zone, table, written.rows))
+        return spark.read.schema(df.schema).parquet(written.path)
 
     put("estados", geography.estados(raw))
     put("municipios", geography.municipios(raw))
     proponents = put("proponentes", grants.proponentes(raw))
-    store.write(grants.amendment_transfers(raw), "work", "transfers", day)
-    transfers = store.read("work", "transfers")
+    transfers = put("transfers", grants.amendment_transfers(raw), WORK)
     bridge = put("emendas_convenios", grants.emendas_convenios(transfers))
     amendments = put("emendas", grants.emendas(transfers))
     fact = put("convenios", grants.convenios(raw, bridge))

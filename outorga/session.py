@@ -46,3 +46,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="outorga-checkpoint-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition an input that arrives in fewer pieces than the cluster has cores: a small file,
+    or a few gzip or multi-line ones that no reader can split. Bigger inputs pass as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
