@@ -14,7 +14,7 @@ from outorga.operators.joins import bad_suffix_date
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
 from outorga.risk import features, model, text
 from outorga.schemas import CONTRACTS, MART_SCHEMAS
-from outorga.session import cut_lineage
+from outorga.session import cut_lineage, spread
 from outorga.sinks import targets
 from outorga.sources.gates import freshness
 from pyspark.sql import types as T
@@ -189,7 +189,7 @@ _TOKENS = f"""list_filter(regexp_extract_all(translate(lower(text), '{ACCENTED}'
 @query("m1_tokens", f"select doc_id, array_to_string({_TOKENS}, ' ') tokens, len({_TOKENS}) n from documents")
 def _(i: Inputs):
     words = tokens(F.col("text"), STOP_WORDS)
-    return i.documents.select("doc_id", F.array_join(words, " ").alias("tokens"), F.size(words).alias("n"))
+    return i.documents.select("doc_id", F.array_join(words, " ").alias("tokens"), F.size(words).cast("long").alias("n"))
 
 
 def stem_case(word: str, *steps: int) -> str:
@@ -217,7 +217,7 @@ def stem_ctes(terms: str) -> str:
 @query("m2_vocabulary_stems", f"""
 with terms as (select distinct unnest({_TOKENS}) term from documents), {stem_ctes('terms')} select term, stem from stemmed""")
 def _(i: Inputs):
-    return text.vocabulary_stems(i.documents, "text", STOP_WORDS)
+    return text.vocabulary_stems(spread(i.documents), "text", STOP_WORDS)
 
 
 @query("m2_plural_step", f"""
@@ -235,7 +235,7 @@ df as (select term, count(*) df from tf group by 1),
 w as (select doc_id, term, tf, df, tf * (ln((1.0 + (select count(*) from documents)) / (1.0 + df)) + 1) w from tf join df using (term))
 select doc_id, term, tf, df, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) weight from w""")
 def _(i: Inputs):
-    weights = text.tf_idf(i.documents, "doc_id", "text", STOP_WORDS)
+    weights = text.tf_idf(spread(i.documents), "doc_id", "text", STOP_WORDS)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
@@ -245,12 +245,12 @@ def _clusterer() -> text.TextClusterer:
 
 @query("m4_text_clusters")
 def _(i: Inputs):
-    return _clusterer().fit_predict(i.documents.select("doc_id", "text"), "text").select("doc_id", "cluster")
+    return _clusterer().fit_predict(spread(i.documents.select("doc_id", "text")), "text").select("doc_id", "cluster")
 
 
 @query("m4_cluster_distances")
 def _(i: Inputs):
-    distances = _clusterer().fit_transform(i.documents.select("doc_id", "text"), "doc_id", "text")
+    distances = _clusterer().fit_transform(spread(i.documents.select("doc_id", "text")), "doc_id", "text")
     return distances.select("doc_id", *[F.col("distances")[j].alias(f"distance_{j}") for j in range(5)])
 
 
@@ -393,7 +393,8 @@ def _(i: Inputs):
     leg = ledger.deposit_leg(stage["desembolsos"], "D", "DATA_DESEMBOLSO", "VL_DESEMBOLSADO", grants_)
     folder = i.scratch()
     targets.ledger_sink(folder)("movimento", leg)
-    return i.spark.read.parquet(f"{folder}/movimento").groupBy("ANO_MOV").agg(F.count(F.lit(1)).alias("rows"))
+    years = i.spark.read.parquet(f"{folder}/movimento").groupBy(F.col("ANO_MOV").cast("long").alias("ANO_MOV"))
+    return years.agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("o5_target_gate", """

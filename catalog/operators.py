@@ -624,7 +624,7 @@ select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp),
 from (select min(cast(l_shipdate as date)) lo, max(cast(l_shipdate as date)) hi from lineitem)""")
 def _(i: Inputs):
     days = i.lineitem.select(F.col("l_shipdate").cast("date").alias("d"))
-    return derived.calendario(days, "d", F.col("d")).select("DATA")
+    return derived.calendario(days, "d", days.agg(F.max("d")).scalar()).select("DATA")
 
 
 _ORDER_DAYS = "(select cast(o_orderdate as date) d, o_orderkey from orders)"

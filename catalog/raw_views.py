@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outorga.schemas import STAGE_COLUMNS
-from outorga.sources.stage import clean_stage
 
 STATES = [
     "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
@@ -197,15 +196,3 @@ VIEWS = {
 def raw(table: Callable[[str], DataFrame], name: str) -> DataFrame:
     """A raw view over the typed tables that ``table`` reads by name."""
     return VIEWS[name](table).select(*STAGE_COLUMNS[name])
-
-
-class Staged(dict):
-    """Raw views with the staging rules applied, each planned when first asked for."""
-
-    def __init__(self, table: Callable[[str], DataFrame]) -> None:
-        super().__init__()
-        self.table = table
-
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = clean_stage(raw(self.table, name), name)
-        return self[name]

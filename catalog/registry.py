@@ -9,14 +9,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.raw_views import Staged, raw
+from catalog.raw_views import raw
 from catalog.views_sql import with_ctes
+from outorga.schemas import stage_schema
 from outorga.session import spread, tune
+from outorga.sources.stage import clean_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+class Staged(dict):
+    """Staged tables by name. Like a run, a query stages each table it needs once, to Parquet, and
+    builds on what it reads back."""
+
+    def __init__(self, inputs: Inputs) -> None:
+        super().__init__()
+        self.inputs, self.folder = inputs, inputs.scratch()
+
+    def __missing__(self, name: str) -> DataFrame:
+        path = f"{self.folder}/stage/{name}"
+        clean_stage(raw(lambda t: spread(self.inputs.table(t)), name), name).write.parquet(path)
+        self[name] = self.inputs.spark.read.schema(stage_schema(name)).parquet(path)
+        return self[name]
+
+
 class Inputs:
     """Tables of one data directory: typed (``i.orders``), raw-shaped and staged."""
 
@@ -26,7 +43,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -36,7 +53,7 @@ class Inputs:
         return raw(self.table, name)
 
     def staged(self) -> Staged:
-        return Staged(self.table)
+        return Staged(self)
 
     def scratch(self) -> str:
         """A new folder to write to: below the cluster's shared folder if it names one."""

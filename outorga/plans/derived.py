@@ -14,8 +14,9 @@ from outorga.schemas import MART_SCHEMAS
 
 
 def calendario(first_days: DataFrame, date: str, last_day: Column) -> DataFrame:
-    """One row per day from the earliest ``date`` to ``last_day``, both included."""
-    span = first_days.agg(F.min(date).alias("first"), F.max(last_day).alias("last"))
+    """One row per day from the earliest ``date`` to ``last_day`` (a literal or a scalar), both
+    included."""
+    span = first_days.agg(F.min(date).alias("first")).select("first", last_day.alias("last"))
     # First after last leaves no day, where a bare sequence would count downwards.
     span = span.where(F.col("first") <= F.col("last"))
     days = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("DATA"))
