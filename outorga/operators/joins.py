@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from outorga import fixed
 from outorga.functions.labels import lookup
 from outorga.functions.text import yes_no
-from outorga.functions.values import day_first_date
 
 
 def keep_known(df: DataFrame, key: str, known: DataFrame, known_key: str | None = None) -> DataFrame:
@@ -56,11 +55,15 @@ def override(left: DataFrame, right: DataFrame, key: str, when: str, pairs: dict
 
 
 def date_corrections(spark: SparkSession, leg: str) -> DataFrame:
-    """(_grant, _wrong, _right) of one ledger leg."""
-    rows = [(grant, wrong, right) for kind, grant, wrong, right in fixed.date_fixes() if kind == leg]
-    table = spark.createDataFrame(rows, "_grant long, _wrong string, _right string")
-    return table.select("_grant", day_first_date(F.col("_wrong")).alias("_wrong"),
-                        day_first_date(F.col("_right")).alias("_right"))
+    """(_grant, _wrong, _right) of one ledger leg, as a local relation: the planner knows its size
+    (at most a few dozen rows) and broadcasts it, so the leg is not shuffled for it."""
+    rows = [(grant, _iso(wrong), _iso(right)) for kind, grant, wrong, right in fixed.date_fixes() if kind == leg]
+    values = ", ".join(f"({grant}L, date'{wrong}', date'{right}')" for grant, wrong, right in rows)
+    return spark.sql(f"select * from values {values} as fixes(_grant, _wrong, _right)")
+
+
+def _iso(day_first: str) -> str:
+    return "-".join(reversed(day_first.split("/")))
 
 
 def correct_dates(df: DataFrame, grant: str, date: str, corrections: DataFrame) -> DataFrame:
