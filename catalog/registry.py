@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 from catalog.raw_views import raw
 from catalog.views_sql import with_ctes
 from outorga.schemas import stage_schema
-from outorga.session import spread, tune
+from outorga.session import new_folder, spread, tune
 from outorga.sources.stage import clean_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,15 +55,7 @@ class Inputs:
         return Staged(self)
 
     def scratch(self) -> str:
-        """A new folder to write to: below the cluster's shared folder if it names one."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not self.spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        if shared is None:
-            return tempfile.mkdtemp(prefix="outorga-scratch-")
-        import uuid
-
-        return f"{shared.rstrip('/')}/outorga-scratch-{uuid.uuid4().hex}"
+        return new_folder(self.spark)
 
 
 def comparable(df: DataFrame) -> DataFrame:

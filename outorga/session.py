@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,20 +33,23 @@ def session(app: str = "outorga", master: str | None = None, **conf: str) -> Spa
     return tune(builder.getOrCreate())
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster names in ``spark.checkpoint.dir``. A folder of our
-    own is taken only in local mode with that setting unset."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(folder)
-    elif not sc.getCheckpointDir():
-        if not sc.master.startswith("local"):
+def new_folder(spark: SparkSession) -> str:
+    """Path of a new folder below the one the cluster names in ``spark.checkpoint.dir``. A folder of
+    our own is taken only in local mode with that setting unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="outorga-checkpoint-"))
-    return df.checkpoint()
+        shared = tempfile.mkdtemp(prefix="outorga-")
+    return f"{shared.rstrip('/')}/outorga-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and go on from there. As Parquet, so that those who read
+    on take only the columns they need and the planner knows the size."""
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
