@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,14 +33,27 @@ def session(app: str = "outorga", master: str | None = None, **conf: str) -> Spa
     return tune(builder.getOrCreate())
 
 
+#: Shared folder of sessions that name none: entry points and tests set it, the library never guesses.
+DEFAULT_SHARED = os.environ.get("OUTORGA_SHARED", "/tmp/checkpoints/outorga")
+
+
+def ensure_shared(spark: SparkSession) -> SparkSession:
+    """Name a shared folder where the session has none. For entry points; a cluster names its own in
+    ``spark.checkpoint.dir``, or the operator of the job in the OUTORGA_SHARED variable."""
+    if not _shared(spark):
+        spark.sparkContext.setCheckpointDir(DEFAULT_SHARED)
+    return spark
+
+
+def _shared(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def new_folder(spark: SparkSession) -> str:
-    """Path of a new folder below the one the cluster names in ``spark.checkpoint.dir``. A folder of
-    our own is taken only in local mode with that setting unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Path of a new folder below the one named in ``spark.checkpoint.dir``."""
+    shared = _shared(spark)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="outorga-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{shared.rstrip('/')}/outorga-{uuid.uuid4().hex}"
 
 
