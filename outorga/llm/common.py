@@ -31,7 +31,13 @@ def covered(spans: Column) -> Column:
         end = F.greatest(acc["end"], (s["start"] + s["length"]).cast("long"))
         return F.struct(end.alias("end"), (acc["n"] + end - F.least(first, end)).alias("n"))
 
-    return F.aggregate(F.array_sort(spans), start, add, lambda acc: acc["n"])
+    return F.aggregate(F.sort_array(spans), start, add, lambda acc: acc["n"])
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row, however often it is used further on. (The
+    optimizer may copy a projected expression into each of its uses, but not a generated one.)"""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def packed(df: DataFrame, *columns: Column) -> DataFrame:

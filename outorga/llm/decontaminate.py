@@ -76,7 +76,7 @@ def judged(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Da
     rows = packed(documents, F.unhex(F.md5("text")).alias("_d"), F.size(cased_words(F.col("text"))).cast("long").alias("n_words"))
     return (
         rows.join(found, F.col("_d") == F.col("_digest"), "left")
-        .withColumn("items", F.array_sort(F.coalesce("items", none)))
+        .withColumn("items", F.sort_array(F.coalesce("items", none)))
         .withColumn("n_hit", F.coalesce(covered(F.col("spans")), F.lit(0).cast("long")))
         .withColumn("contaminated", contaminated(F.col("n_hit"), F.col("n_words")))
     )

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outorga.llm.common import ascii_lower, cased_words
+from outorga.llm.common import ascii_lower, cased_words, once
 
 #: Key phrase and label, fixed by the contract.
 BASE = {
@@ -83,7 +83,7 @@ def scan(documents: DataFrame, base: dict[str, str] = BASE, more: dict[str, str]
         there = lambda i: ascii_lower(F.concat_ws(" ", F.slice(words, F.greatest(i, F.lit(0)) + 1, n)))
         return F.filter(both, lambda i: (i >= 0) & (there(i) == phrase))
 
-    rows = documents.select(F.col("doc_id"), cased_words(F.col("text")).alias("_words"))
+    rows = once(documents.select("doc_id", "text"), "_words", cased_words(F.col("text"))).drop("text")
     low = lambda i: F.lower(F.get(words, i))
     every = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
     hit = F.transform(F.filter(every, lambda i: low(i).isin(rare)), lambda i: F.struct(low(i).alias("w"), i.alias("i")))
@@ -93,13 +93,13 @@ def scan(documents: DataFrame, base: dict[str, str] = BASE, more: dict[str, str]
         return F.transform(places(phrase), lambda i: F.struct(F.lit(k).alias("phrase"), i.alias("start")))
 
     found = F.flatten(F.array(*[numbered(k, p) for k, (p, _) in enumerate(templates)]))
-    rows = rows.select("doc_id", F.size("_words").cast("long").alias("n_words"), "_words", hit.alias("_rare")).select(
-        "doc_id", "n_words", F.when(F.size("_rare") > 0, found).otherwise(nothing).alias("_found"))
+    rows = once(rows, "_rare", hit).withColumn("n_words", F.size("_words").cast("long"))
+    rows = once(rows, "_found", F.when(F.size("_rare") > 0, found).otherwise(nothing))
     number = {p: k for k, (p, _) in enumerate(templates)}
     of_base = F.filter("_found", lambda f: f["phrase"].isin([number[p] for p in base]))
     names = F.array(*[F.lit(label) for _, label in templates])
     sizes = F.array(*[F.lit(len(p.split())) for p, _ in templates])
-    label = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda f: F.get(names, f["phrase"])))), ",")
+    label = lambda found: F.array_join(F.sort_array(F.array_distinct(F.transform(found, lambda f: F.get(names, f["phrase"])))), ",")
     weight = F.aggregate(
         F.array_distinct(F.transform("_found", lambda f: f["phrase"])), F.lit(0), lambda a, k: a + F.get(sizes, k))
     return rows.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.llm import decontaminate, licences, spotsigs, warc
+from outorga.llm import decontaminate, licences, pii, quality, spotsigs, warc
 from outorga.llm.oracles import SQL  # noqa: F401
 from outorga.session import tune
 
@@ -31,6 +31,21 @@ def op1_decontamination(table) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op2_surrogates(table) -> DataFrame:
+    rows = pii.replaced(table("documents").select("doc_id", "text"))
+    return rows.select(
+        F.col("_row.doc_id").alias("doc_id"), "text", F.size("found").cast("long").alias("n_entities"),
+        F.size(F.array_distinct("found")).cast("long").alias("n_distinct"),
+        F.array_join(F.sort_array(F.array_distinct("found.kind")), ",").alias("kinds"))
+
+
+@query
+def op3_quality(table) -> DataFrame:
+    rows = quality.judged(table("documents").select("doc_id", "text", "source", "lang"), table("labels"))
+    return rows.select(F.col("_row.doc_id").alias("doc_id"), "p_document", "p_host", "p_path", "p_quality", "keep")
+
+
 @query
 def op8_spot_signatures(table) -> DataFrame:
     return spotsigs.edited(table("documents"))

@@ -5,9 +5,8 @@ between them left out; in long stretches without an anchor, each word is one. Th
 are compared by the Jaccard likeness of their sets; sets whose sizes alone rule out the least likeness of
 interest are not intersected and get 0.
 
-Defined results: null counts as the empty text; a text without any spot takes the chains of all its words
-as spots, one of fewer words than a chain its word sequence, one without words its characters; the empty
-text has the empty fingerprint. Two empty fingerprints have likeness 1. Equal texts have equal fingerprints.
+Defined results: null counts as the empty text; the start of a text is an anchor for its first word and its
+first two; the one spot of a text without words is that text; the empty text has the empty fingerprint. Two empty fingerprints have likeness 1. Equal texts have equal fingerprints.
 In the order of documents, rows with equal id go by the digest of their texts, null ids come last, and
 equal rows follow one another.
 """
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from outorga.llm.common import BETWEEN, stored
+from outorga.llm.common import BETWEEN, once, stored
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -33,28 +32,33 @@ GROUP = 2000  # documents that are put in order together
 MOST_GROUPS = 1 << 18  # bounds the table of groups, the one broadcast here
 
 
-def _patterns(anchors: list[str], chain: int) -> tuple[str, str, str, str]:
-    """Of a text of words and single spaces: spots, chains of any words, common words inside a spot, and
-    stretches of RUN or more content words."""
-    common = "(?:" + "|".join(sorted(set(anchors))) + ")"
-    word = rf"(?!{common}(?: |$))[^ ]++"
-    content = rf"(?: {common}(?= ))*+ {word}"
-    return (rf"(?<![^ ])(?=({common}(?:{content}){{{chain}}}))", rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{chain}}}))",
-            rf"(?<= ){common} ", rf"(?<![^ ]){word}(?: {word}){{{RUN - 1},}}")
+def _any_of(words: list[str]) -> str:
+    """A pattern for a whole word out of a list, branching by letters so that most words fail at once."""
+    firsts: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        firsts.setdefault(word[0], []).append(word[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in firsts.items()) + ")(?![^ ])"
 
 
-def spots(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> Column:
-    """The set of spots of a text as sorted hashes."""
-    spot, any_chain, inner, run = _patterns(anchors, chain)
-    words = F.trim(F.regexp_replace(F.lower(text), BETWEEN, " "))
+def with_spots(df: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """Add the set of spots of a text column as sorted hashes."""
+    mark, content = r"\x01[^ ]++", r"[^\x01 ][^ ]*+"
+    spot = rf"\x01(?=([^ ]++(?:(?: {mark})*+ {content}){{{chain}}}))"
+    run = rf"(?<![^ ]){content}(?: {content}){{{RUN - 1},}}+"
+    any_chain = rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{chain}}}))"
     chains = lambda part: F.regexp_extract_all(part, F.lit(any_chain), 1)
-    at_anchors = F.transform(F.regexp_extract_all(words, F.lit(spot), 1), lambda s: F.regexp_replace(s, inner, ""))
+    # words and single spaces, common words behind a mark
+    words = F.trim(F.regexp_replace(F.lower(text), BETWEEN, " "))
+    df = once(df, "_w", F.regexp_replace(words, rf"(?<![^ ]){_any_of(anchors)}", "\x01$0"))
+    words = F.col("_w")
+    at_anchors = F.transform(F.regexp_extract_all(words, F.lit(spot), 1), lambda s: F.regexp_replace(s, f" {mark}", ""))
     between = F.flatten(F.transform(F.regexp_extract_all(words, F.lit(run), 0), chains))
-    found = F.concat(at_anchors, between)
-    every = chains(words)
-    whole = F.when(F.length(words) > 0, F.array(words)).when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>"))
-    chosen = F.when(F.size(found) > 0, found).otherwise(F.when(F.size(every) > 0, every).otherwise(whole))
-    return F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.xxhash64(s))))
+    start = F.translate(words, "\x01", "")
+    head = F.filter(F.array(F.regexp_extract(start, "^[^ ]+", 0), F.regexp_extract(start, "^[^ ]+ [^ ]+", 0)), lambda s: s != "")
+    bare = F.when(F.length(words) == 0, F.filter(F.array(F.col(text)), lambda s: s != "")).otherwise(F.array().cast("array<string>"))
+    chosen = F.concat(at_anchors, between, F.transform(head, lambda s: F.concat(F.lit("^"), s)), bare)
+    hashes = F.sort_array(F.array_distinct(F.transform(chosen, lambda s: F.xxhash64(s))))
+    return once(df, name, hashes).drop("_w")
 
 
 def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
@@ -106,8 +110,8 @@ def with_next(documents: DataFrame) -> DataFrame:
     own = F.struct(F.lit(0).alias("copy"), F.col("group"))
     copied = F.struct(F.lit(1).alias("copy"), F.col("before").alias("group"))
     to = F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(own, copied)).otherwise(F.array(own))
-    dealt = grouped(rows).join(tops, F.col("group") == F.col("_g")).select("doc_id", "text", spots(F.col("text")).alias("spots"), to.alias("to"))
-    dealt = dealt.select("doc_id", "text", "spots", F.md5("text").alias("digest"), F.inline("to"))
+    dealt = grouped(with_spots(rows, "text", "spots")).join(tops, F.col("group") == F.col("_g"))
+    dealt = dealt.select("doc_id", "text", "spots", F.md5("text").alias("digest"), F.inline(to))
     order = W.partitionBy("group").orderBy("copy", F.col("doc_id").desc_nulls_last(), "digest")
     return dealt.select(
         "doc_id", "text", "spots", "copy", F.lead("text").over(order).alias("next_text"),
@@ -119,12 +123,11 @@ def edited(documents: DataFrame) -> DataFrame:
     next document), and the likeness of its own to that one and to the next document's."""
     n = F.length("text")
     third = F.expr("length(text) div 3").cast("int")
-    rows = with_next(documents).withColumn(
-        "edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "spots", "next_spots", spots(F.col("edited")).alias("edited_spots"))
+    text = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
+    rows = once(with_next(documents), "edited", text)
+    rows = with_spots(rows.withColumn("n_chars", n.cast("long")).drop("text", "next_text"), "edited", "edited_spots")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", written(F.col("spots")).alias("fingerprint"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("spots")).alias("fingerprint"),
         written(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"))
