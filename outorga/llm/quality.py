@@ -5,7 +5,8 @@ per site (host and path) give posteriors: a path's mean is drawn towards its hos
 mean of all, the more the fewer documents it has. How much follows from the variances within and between
 groups (their moments over all documents). A document's own log-odds and its path's are then added up.
 
-The classifier is fitted on at most SAMPLE labelled rows, those of the smallest hashes of doc_id; all else
+The classifier is fitted on at most SAMPLE label rows, those of the smallest hashes of doc_id (twice as
+many rows where ids repeat); all else
 covers every document. Groups are added up before they move, so a host with most rows is no burden.
 
 Defined results: a null text counts as empty; null host and path are sites of their own; label rows without
@@ -26,8 +27,9 @@ SAMPLE = 20_000
 RIDGE = 1e-3
 LEAST = 0.5  # quality from which on a document is kept
 
-#: Features by name, over ``_t`` (text), ``_w`` (words between spaces), ``_n`` (characters, one at least).
+
 def _features() -> dict[str, Column]:
+    """Features over ``_t`` (text), ``_w`` (words between spaces) and ``_n`` (characters, one at least)."""
     t, w, n = F.col("_t"), F.col("_w"), F.col("_n")
     size = F.greatest(F.size(w), F.lit(1))
     without = lambda pattern: n - F.length(F.regexp_replace(t, pattern, ""))
@@ -46,9 +48,6 @@ def _features() -> dict[str, Column]:
     }
 
 
-NAMES = list(_features())
-
-
 def with_features(df: DataFrame, text: Column) -> DataFrame:
     """Add ``_x``, the feature values of a text."""
     df = once(df, "_t", F.coalesce(text, F.lit("")))
@@ -61,11 +60,11 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
     some = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_y")).dropna()
     some = stored(some.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample))  # bounds what is broadcast
     rows = documents.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("text", "_id", "_y")
-    got = with_features(rows, F.col("text")).select("_x", "_y").limit(4 * sample).toPandas()
+    got = with_features(rows, F.col("text")).select("_x", "_y").orderBy(F.xxhash64("_x"), "_x", "_y").limit(2 * sample).toPandas()
     if got.empty or got["_y"].nunique() < 2:
         share = float(got["_y"].mean()) if len(got) else 1.0
         share = min(max(share, 1e-3), 1 - 1e-3)
-        k = len(NAMES)
+        k = len(_features())
         return np.r_[np.zeros(k), np.log(share / (1 - share))], np.zeros(k), np.ones(k)
     x, y = np.stack(got["_x"].to_numpy()), got["_y"].to_numpy()
     mean, dev = x.mean(0), x.std(0) + 1e-9
