@@ -40,7 +40,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity has: a digit, an at sign or a title; texts without it are not searched.
-HINT = rf"[0-9@]|(?:{_HE}|{_SHE})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?=[{''.join(sorted({t[0] for t in f'{_HE}|{_SHE}'.split('|')}))}])(?:{_HE}|{_SHE})\.? \p{{Lu}}"
 DIGITS = ("phone", "number", "card", "ip")
 
 
@@ -202,8 +202,8 @@ def exceptions(entities: DataFrame, draws=lambda kind, canon, draw: surrogate(KE
 
 def _found(documents: DataFrame) -> DataFrame:
     """The documents as ``_row`` with ``_m``, their mentions (null for texts without a hint of one)."""
-    text = F.col("_row.text")
-    return once(packed(documents), "_m", F.when(text.rlike(HINT), mentions(text)))
+    text = F.col("_text")
+    return once(packed(documents, F.col("text").alias("_text")), "_m", F.when(text.rlike(HINT), mentions(text)))
 
 
 def replaced(documents: DataFrame, key: str = KEY) -> DataFrame:
@@ -214,9 +214,9 @@ def replaced(documents: DataFrame, key: str = KEY) -> DataFrame:
     moved = stored(exceptions(stored(listed), draws))
     some = not moved.isEmpty()
     if some:  # the draws of those documents that name such an entity, under the digest of the text
-        named = rows.select(F.md5("_row.text").alias("_d"), F.explode("_m.found").alias("f")).select("_d", "f.kind", "f.canon")
+        named = rows.select(F.md5("_text").alias("_d"), F.explode("_m.found").alias("f")).select("_d", "f.kind", "f.canon")
         named = named.join(moved, ["kind", "canon"]).groupBy("_d").agg(F.collect_set(F.struct("kind", "canon", "draw")).alias("_draws"))
-        rows = rows.withColumn("_key", F.md5("_row.text")).join(stored(named), F.col("_key") == F.col("_d"), "left").drop("_key", "_d")
+        rows = rows.withColumn("_key", F.md5("_text")).join(stored(named), F.col("_key") == F.col("_d"), "left").drop("_key", "_d")
 
     def draw_of(f: Column) -> Column:
         if not some:
@@ -227,7 +227,7 @@ def replaced(documents: DataFrame, key: str = KEY) -> DataFrame:
     new = once(new, "_said", F.transform("_new", lambda f: rendered(f["kind"], f["mention"], f["instead"])))
     joined = F.array_join(F.flatten(F.zip_with("_m.pieces", "_said", lambda p, s: F.array(p, F.coalesce(s, F.lit(""))))), "")
     n = F.coalesce(F.size("_m.found"), F.lit(0))
-    return new.select("_row", F.when(n > 0, joined).otherwise(F.col("_row.text")).alias("text"), F.coalesce("_m.found", F.array().cast("array<struct<kind:string,canon:string,mention:string>>")).alias("found"))
+    return new.select("_row", F.when(n > 0, joined).otherwise(F.col("_text")).alias("text"), F.coalesce("_m.found", F.array().cast("array<struct<kind:string,canon:string,mention:string>>")).alias("found"))
 
 
 def pseudonymised(documents: DataFrame, key: str = KEY) -> DataFrame:

@@ -29,20 +29,21 @@ LEAST = 0.5  # quality from which on a document is kept
 
 
 def _features() -> dict[str, Column]:
-    """Features over ``_t`` (text), ``_w`` (words between spaces) and ``_n`` (characters, one at least)."""
-    t, w, n = F.col("_t"), F.col("_w"), F.col("_n")
-    size = F.greatest(F.size(w), F.lit(1))
-    without = lambda pattern: n - F.length(F.regexp_replace(t, pattern, ""))
+    """Features over ``_t`` (text), ``_n`` (characters, one at least), ``_w`` (words between spaces), ``_d``
+    (different ones) and ``_r`` (the text without small letters, spaces and common punctuation)."""
+    w, n, rest = F.col("_w"), F.col("_n"), F.col("_r")
+    size, kinds = F.greatest(F.size(w), F.lit(1)), F.col("_d")
+    among = lambda pattern: F.length(F.regexp_replace(rest, pattern, "")) / n
     again = F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1))))
-    lines = F.split(t, "\n")
+    lines = F.split("_t", "\n")
     return {
         "size": F.log1p(F.size(w)),
         "word": F.least(n / size, F.lit(30.0)),
-        "symbols": without(r"[*$%&#|!<>{}\[\]_=~^\\@+]+") / n,
-        "upper": without(r"\p{Lu}+") / n,
-        "digits": without(r"[0-9]+") / n,
-        "distinct": F.size(F.array_distinct(w)) / size,
-        "richness": F.log1p(F.size(F.array_distinct(w))) / F.log1p(size),
+        "symbols": among(r"[\p{L}\p{N}]+"),
+        "upper": among(r"[^\p{Lu}]+"),
+        "digits": among("[^0-9]+"),
+        "distinct": kinds / size,
+        "richness": F.log1p(kinds) / F.log1p(size),
         "repeated": again / size,
         "lines": F.size(F.array_distinct(lines)) / F.size(lines),
     }
@@ -52,7 +53,8 @@ def with_features(df: DataFrame, text: Column) -> DataFrame:
     """Add ``_x``, the feature values of a text."""
     df = once(df, "_t", F.coalesce(text, F.lit("")))
     df = once(df, "_w", F.array_remove(F.split("_t", r"\s+"), "")).withColumn("_n", F.greatest(F.length("_t"), F.lit(1)))
-    return once(df, "_x", F.array(*[v.cast("double") for v in _features().values()])).drop("_t", "_w", "_n")
+    df = once(once(df, "_d", F.size(F.array_distinct("_w"))), "_r", F.regexp_replace("_t", r"[\p{Ll}\s.,;:?'()\x22-]+", ""))
+    return once(df, "_x", F.array(*[v.cast("double") for v in _features().values()])).drop("_t", "_w", "_n", "_d", "_r")
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,9 +127,9 @@ def posteriors(scored: DataFrame) -> tuple[float, DataFrame]:
 def judged(documents: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", label: str = "quality") -> DataFrame:
     """The documents as ``_row`` with p_document, p_host, p_path, p_quality and keep."""
     model = fit(documents, labels, label)
-    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"_row.{c}").cast("string")), F.lit(""))
-    rows = packed(documents)
-    scored = with_features(rows, F.col("_row.text")).select("_row", name(host).alias("_host"), name(path).alias("_path"), probability(F.col("_x"), model).alias("_p"))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = packed(documents, name(host).alias("_host"), name(path).alias("_path"), F.col("text").alias("_text"))
+    scored = with_features(rows, F.col("_text")).select("_row", "_host", "_path", probability(F.col("_x"), model).alias("_p"))
     mean, sites = posteriors(scored)
     odds = lambda p: F.log(p / (1 - p))
     inside = lambda p: F.greatest(F.least(p, F.lit(0.999)), F.lit(0.001))
