@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outorga.session import cut_lineage
@@ -53,3 +55,13 @@ def stored(df: DataFrame) -> DataFrame:
     """Written to the shared folder and read back: computed once, survives lost executors, and the
     planner knows its size."""
     return cut_lineage(df)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it. (A cluster whose machines don't
+    share that folder gets the package by ``--py-files`` or an installation.)"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark

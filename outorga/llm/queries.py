@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.llm import decontaminate, licences, pii, quality, spotsigs, warc
+from outorga.llm import decontaminate, licences, packing, pii, quality, spotsigs, warc
+from outorga.llm.common import importable
 from outorga.llm.oracles import SQL  # noqa: F401
 from outorga.session import tune
 
@@ -16,7 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tune(spark)
+        importable(tune(spark))
         return fn(lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
     QUERIES[fn.__name__] = run
@@ -46,6 +48,11 @@ def op3_quality(table) -> DataFrame:
     return rows.select(F.col("_row.doc_id").alias("doc_id"), "p_document", "p_host", "p_path", "p_quality", "keep")
 
 
+@query
+def op7_packing(table) -> DataFrame:
+    return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op8_spot_signatures(table) -> DataFrame:
     return spotsigs.edited(table("documents"))
