@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.llm import decontaminate, extract, licences, packing, pii, quality, spotsigs, warc
+from outorga.llm import decontaminate, extract, language, licences, packing, pii, quality, spotsigs, warc
 from outorga.llm.common import importable
 from outorga.llm.oracles import SQL  # noqa: F401
 from outorga.session import tune
@@ -48,6 +48,12 @@ def op3_quality(table) -> DataFrame:
     return rows.select(F.col("_row.doc_id").alias("doc_id"), "p_document", "p_host", "p_path", "p_quality", "keep")
 
 
+@query
+def op4_language(table) -> DataFrame:
+    documents = table("documents").select("doc_id", "text", "lang")
+    return language.identify(documents, language.fit(documents))
+
+
 @query
 def op6_main_text(table) -> DataFrame:
     return extract.extract(table("pages"))
