@@ -29,7 +29,7 @@ SAMPLE = 500
 STRETCH = 600
 MOST_LANGUAGES = 100
 LENGTH, BATCH, STEPS, RATE = 48, 64, 400, 0.05
-CHARS = 4_000_000  # characters labelled at a time
+CHARS = 8_000_000  # characters labelled at a time
 WORDS = 300_000  # words a worker remembers
 
 
@@ -82,7 +82,7 @@ def posteriors(evidence: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> np
     t = np.arange(len(evidence)) - np.repeat(first, sizes)
     e = np.empty_like(evidence)
     e[offset[t] + np.repeat(place, sizes)] = np.exp(evidence - evidence.max(1, keepdims=True))
-    a = np.exp(moves - moves.max())
+    a = np.exp(moves - moves.max()).astype(evidence.dtype)
     ahead = np.empty_like(e)
     x = e[: n_at[0]] / e[: n_at[0]].sum(1, keepdims=True)
     ahead[: n_at[0]] = x
@@ -91,14 +91,14 @@ def posteriors(evidence: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> np
         x = (x[:n] @ a) * e[lo : lo + n]
         x /= x.sum(1, keepdims=True)
         ahead[lo : lo + n] = x
-    total, back = np.zeros((len(sizes), evidence.shape[1])), np.ones((n_at[-1], evidence.shape[1]))
+    total, back = np.zeros((len(sizes), evidence.shape[1])), np.ones((n_at[-1], evidence.shape[1]), e.dtype)
     for t in range(len(n_at) - 1, -1, -1):
         lo, n = offset[t], n_at[t]
         both = ahead[lo : lo + n] * back
         total[:n] += both / both.sum(1, keepdims=True)
         if t:
             x = (e[lo : lo + n] * back) @ a.T
-            back = np.ones((n_at[t - 1], evidence.shape[1]))
+            back = np.ones((n_at[t - 1], evidence.shape[1]), e.dtype)
             back[:n] = x / x.sum(1, keepdims=True) * evidence.shape[1]
     return total[place] / sizes[:, None]
 
@@ -225,7 +225,7 @@ class Labeller:
         names, scores = ["und"] * len(parts), [0.0] * len(parts)
         some = np.flatnonzero(sizes)
         if len(some):
-            means = posteriors(self.table[rows].astype(np.float64), sizes[some], self.field.moves)
+            means = posteriors(self.table[rows], sizes[some], self.field.moves)
             for i, best, p in zip(some, means.argmax(1), means.max(1)):
                 names[i], scores[i] = self.field.labels[best], min(float(p), 1.0)
         return names, scores

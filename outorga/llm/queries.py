@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.llm import decontaminate, extract, language, licences, packing, pii, quality, spotsigs, warc
+from outorga.llm import decontaminate, extract, jaccard, language, licences, packing, pii, quality, spotsigs, warc
 from outorga.llm.common import importable
 from outorga.llm.oracles import SQL  # noqa: F401
 from outorga.session import tune
@@ -54,6 +54,11 @@ def op4_language(table) -> DataFrame:
     return language.identify(documents, language.fit(documents))
 
 
+@query
+def op5_near_duplicates(table) -> DataFrame:
+    return jaccard.near_duplicates(table("documents").select("doc_id", "text"))
+
+
 @query
 def op6_main_text(table) -> DataFrame:
     return extract.extract(table("pages"))
