@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,3 +83,6 @@ def op9_warc(table) -> DataFrame:
 @query
 def op10_licences(table) -> DataFrame:
     return licences.scan(table("documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
