@@ -82,7 +82,7 @@ def test_decontamination(spark, docs, limit, monkeypatch):
 
 def test_licences(docs, empty):
     got = {r.doc_id: r for r in licences.scan(docs).collect()}
-    assert (got[8].n_base, got[8].first_word, got[8].last_word, got[8].base_labels) == (3, 3, 11, "apache,mit")
+    assert (got[8].n_base, got[8].first_word, got[8].last_word, got[8].base_labels) == (3, 3, 10, "apache,mit")
     assert got[8].labels == "apache,apache-2.0,mit" and got[9].labels == "cc-by,cc-by-nc" and got[9].n_base == 2
     assert (got[3].n_words, got[3].n_base, got[3].first_word, got[3].labels, got[3].score) == (0, 0, None, "", 0)
     for i, t in TEXTS:
@@ -217,7 +217,7 @@ def test_near_duplicates(spark, docs, empty, monkeypatch):
         assert got == sorted(brute_components(rows), key=key)
     kept = jaccard.distinct(docs)
     assert kept.columns == docs.columns
-    want = {i for i, _, c in brute_components(TEXTS) if i == c}
+    want = {i for i, _, c in brute_components(TEXTS) if i is not None and i == c}
     ids = [r.doc_id for r in kept.collect()]
     assert {i for i in ids if i is not None} == want and len(ids) == len(set(ids))
     assert jaccard.near_duplicates(empty).count() == 0
@@ -275,7 +275,9 @@ def test_pattern_plan_uses_the_histogram_exactly():
         total += n
         for v in shape:
             used[v] += n
-    assert (used == counts).all() and total <= 1.02 * (counts * np.arange(129)).sum() / 128 + 2
+    # no packing needs fewer than the tokens fill, or than there are pieces of over half a sequence
+    least = max((counts * np.arange(129)).sum() / 128, counts[65:].sum())
+    assert (used == counts).all() and total <= 1.02 * least + 2
 
 
 def test_warc(spark, tmp_path):
