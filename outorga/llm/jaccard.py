@@ -78,7 +78,9 @@ def overlap(n: int, percent: int = PERCENT) -> int:
 
 
 def extension(n: int) -> int:
-    return 1 + n // 10
+    """By how many shingles the least prefix is extended. The more, the larger the share of a prefix that partners
+    have in common, and the fewer classes qualify by a passage alone."""
+    return 1 + n // 4
 
 
 def prefix(n: int, percent: int = PERCENT) -> int:
@@ -222,20 +224,25 @@ def _level_size(level: int) -> int:
 
 
 def keys(n: int, tokens: list[int], counts: list[int]) -> list[int]:
-    """Keys of a class by its mixed prefix shingles: rare ones singly, frequent ones in pairs of a token class."""
-    out = [t for t, c in zip(tokens, counts) if c <= RARE]
-    frequent = sorted(t for t, c in zip(tokens, counts) if c > RARE)
-    level = _level(n)
-    for lv in {level, max(level - 1, 0)}:
-        groups = least_shared(_level_size(lv)) - 1  # sharing one more than this puts two in a group
+    """Keys of a class by its mixed prefix shingles, of which partners share ``least_shared``. So the first ones in
+    order of rarity, all but that many and g + 1 more, still share g + 1: rare ones are keys singly, frequent ones in
+    pairs out of one of g token classes."""
+    order = sorted(zip(counts, tokens))
+    out: set[int] = set()
+    for lv in {_level(n), max(_level(n) - 1, 0)}:
+        least = least_shared(_level_size(lv))
+        groups = (least - 1) // 2
+        first = order[: max(len(order) - least + groups + 1, 0)]
+        out.update(t for c, t in first if c <= RARE)
+        frequent = sorted(t for c, t in first if c > RARE)
         if groups < 1:
-            out += [xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63) for t in frequent]
+            out.update(xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63) for t in frequent)
             continue
         by_group: dict[int, list[int]] = {}
         for t in frequent:
             by_group.setdefault(t % groups, []).append(t)
-        out += [xxhash.xxh3_64_intdigest(f"{lv}:{a}:{b}") - (1 << 63) for g in by_group.values() for a, b in combinations(g, 2)]
-    return out
+        out.update(xxhash.xxh3_64_intdigest(f"{lv}:{a}:{b}") - (1 << 63) for g in by_group.values() for a, b in combinations(g, 2))
+    return list(out)
 
 
 def _candidates(rows: DataFrame, comps: DataFrame) -> DataFrame:
