@@ -105,7 +105,7 @@ def t6_convenios(i: Inputs):
 @query("t7_licitacoes", mart_select("licitacoes"))
 def _(i: Inputs):
     stage = i.staged()
-    return procurements.licitacoes(stage, grants.convenios(stage, bridge(stage)))
+    return procurements.licitacoes(stage, grants.granted_proposals(stage, ["NR_CONVENIO"]))
 
 
 @query("t8_fornecedores", mart_select("fornecedores"))
@@ -153,14 +153,14 @@ def _(i: Inputs):
 @query("l4_disbursements", _LEG + "x_leg_d")
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = grants.convenios(stage, bridge(stage))
+    grants_ = grants.granted_proposals(stage, ["NR_CONVENIO"])
     return ledger.deposit_leg(stage["desembolsos"], "D", "DATA_DESEMBOLSO", "VL_DESEMBOLSADO", grants_)
 
 
 @query("l5_counterparts", _LEG + "x_leg_c")
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = grants.convenios(stage, bridge(stage))
+    grants_ = grants.granted_proposals(stage, ["NR_CONVENIO"])
     return ledger.deposit_leg(
         stage["contrapartidas"], "C", "DT_INGRESSO_CONTRAPARTIDA", "VL_INGRESSO_CONTRAPARTIDA", grants_)
 
@@ -292,9 +292,14 @@ from m_convenios join m_proponentes using (IDENTIF_PROPONENTE) left join politic
 
 def _fitted(i: Inputs):
     tables = mart(i)
-    frame = cut_lineage(features.complete(features.feature_frame(tables["convenios"], tables, label=True)))
+    frame = cut_lineage(features.feature_frame(features.finished(tables["convenios"]), tables, label=True))
     texts_ = text.TextClusterer(k=5, width=2**12)
-    return tables, frame, model.fit(frame, components=8, hash_width=64, texts=texts_)
+    return tables, frame, model.fit(frame.where(~_UNSEEN()), components=8, hash_width=64, texts=texts_)
+
+
+def _UNSEEN():
+    """A fifth of the finished grants, by hash, that the models of the catalog don't learn from."""
+    return F.crc32(F.col("NR_CONVENIO").cast("string").cast("binary")) % 5 == 0
 
 
 @query("m6_encoded_features")
@@ -303,12 +308,11 @@ def _(i: Inputs):
     from pyspark.ml.functions import vector_to_array
 
     tables = mart(i)
-    frame = cut_lineage(features.complete(features.feature_frame(tables["convenios"], tables)))
-    closed = model.closed_categories(frame, ["NATUREZA_JURIDICA", "MODALIDADE", "COM_EMENDAS"])
-    stages = model.encoder(closed, ["PRINCIPAL_PARLAMENTAR", "PRINCIPAL_FORNECEDOR", *features.CODES], 64)
-    encoded = vector_to_array("encoded")
-    return Pipeline(stages=stages).fit(frame).transform(frame).select(
-        "NR_CONVENIO", F.size(encoded).alias("width"), F.round(encoded[0], 6).alias("first"))
+    frame = cut_lineage(features.feature_frame(tables["convenios"], tables))
+    frame = text.TextClusterer(k=5, width=2**12).fit(frame, "OBJETO_PROPOSTA").predict(frame, "OBJETO_PROPOSTA")
+    frame = features.filled(frame.withColumnRenamed("cluster", model.CLUSTER))
+    encoded = Pipeline(stages=model.encoder(64)).fit(frame).transform(frame)
+    return encoded.select("NR_CONVENIO", F.transform(vector_to_array("encoded"), lambda v: F.round(v, 6)).alias("encoded"))
 
 
 @query("m7_components")
@@ -333,13 +337,14 @@ def _(i: Inputs):
 @query("m10_appended_predictions")
 def _(i: Inputs):
     _, frame, fitted = _fitted(i)
-    return fitted.predict(fitted.components(frame).drop("components"), proba=True, scale=True)
+    parts = fitted.predict(fitted.components(frame), proba=True, scale=True)
+    return parts.select("NR_CONVENIO", "components", "INSUCESSO")
 
 
 @query("m11_validation_metrics")
 def _(i: Inputs):
     _, frame, fitted = _fitted(i)
-    return model.validation_metrics(fitted, frame)
+    return model.validation_metrics(fitted, frame.where(_UNSEEN()))
 
 
 @query("m11_hyperparameters")
@@ -360,6 +365,14 @@ def _(i: Inputs):
     return model.score_live(tables["convenios"], tables, fitted)
 
 
+@query("t13_scored_grants", f"""
+select NR_CONVENIO, case when lower(SIT_CONVENIO) = '{fixed.LIVE_STATUS}' then 'SIM' else 'NAO' end SCORED from m_convenios""")
+def _(i: Inputs):
+    tables, _, fitted = _fitted(i)
+    scores = model.score_live(tables["convenios"], tables, fitted)
+    return scores.select("NR_CONVENIO", F.when(F.col("INSUCESSO") > 0, "SIM").otherwise("NAO").alias("SCORED"))
+
+
 # ------------------------------------------------------------------ sinks
 
 
@@ -367,7 +380,7 @@ def _(i: Inputs):
 select NR_CONVENIO, epoch_ms(cast(DATA_MOV as timestamp)) DATA_MOV, cast(VALOR_MOV as double) VALOR_MOV, TIPO_MOV, FORNECEDOR_ID from x_leg_d""")
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = grants.convenios(stage, bridge(stage))
+    grants_ = grants.granted_proposals(stage, ["NR_CONVENIO"])
     leg = ledger.deposit_leg(stage["desembolsos"], "D", "DATA_DESEMBOLSO", "VL_DESEMBOLSADO", grants_)
     folder = i.scratch()
     targets.json_sink(folder)("desembolsos", leg)
@@ -389,7 +402,7 @@ def _(i: Inputs):
 select year(DATA_MOV) ANO_MOV, count(*) "rows" from x_leg_d group by 1""")
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = grants.convenios(stage, bridge(stage))
+    grants_ = grants.granted_proposals(stage, ["NR_CONVENIO"])
     leg = ledger.deposit_leg(stage["desembolsos"], "D", "DATA_DESEMBOLSO", "VL_DESEMBOLSADO", grants_)
     folder = i.scratch()
     targets.ledger_sink(folder)("movimento", leg)

@@ -25,6 +25,11 @@ def live(grants: DataFrame) -> DataFrame:
     return grants.where(F.lower("SIT_CONVENIO") == fixed.LIVE_STATUS)
 
 
+def finished(grants: DataFrame) -> DataFrame:
+    """Grants whose outcome is known: those to learn from."""
+    return grants.where(F.coalesce(F.lower("SIT_CONVENIO") != fixed.LIVE_STATUS, F.lit(True)))
+
+
 def failure_label(status: Column) -> Column:
     failed = [s.upper() for s in fixed.FAILED_STATUSES]
     return F.when(F.upper(status).isin(failed), 1).otherwise(0)
@@ -64,6 +69,10 @@ def feature_frame(grants: DataFrame, mart: dict[str, DataFrame], label: bool = F
         *[F.coalesce(c, F.lit(fixed.NO_MEMBER)).alias(c) for c in TEXTS], *(["LABEL"] if label else []))
 
 
-def complete(frame: DataFrame) -> DataFrame:
-    """Rows whose numbers and codes are all known: the ones a model can take."""
-    return frame.dropna(subset=NUMBERS + CODES)
+def filled(frame: DataFrame) -> DataFrame:
+    """Add what a model takes, under names of its own: numbers with 0 for null, a flag of each that was null, and
+    codes with a category for null. No row is lost."""
+    return frame.withColumns({
+        **{f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMBERS},
+        **{f"_{c}_FALTA": F.col(c).isNull().cast("double") for c in NUMBERS},
+        **{f"_{c}": F.coalesce(F.col(c).cast("string"), F.lit(fixed.NO_MEMBER)) for c in CODES}})

@@ -16,11 +16,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.risk.features import CODES, NUMBERS, TEXTS
+from outorga.risk.features import CODES, NUMBERS, TEXTS, feature_frame, filled, live
 from outorga.risk.text import TextClusterer, TextClusters
+from outorga.session import new_folder
 
 CLUSTER = "OBJETO_GRUPO"
-CATEGORIES = [c for c in TEXTS if c != "OBJETO_PROPOSTA"] + CODES + [CLUSTER]
+#: Categories whose values the register fixes, and the text groups; all others are open and are hashed.
+ONE_HOT = ["COM_EMENDAS", "NATUREZA_JURIDICA", "MODALIDADE", CLUSTER]
+HASHED = [c for c in TEXTS if c != "OBJETO_PROPOSTA" and c not in ONE_HOT] + [f"_{c}" for c in CODES]
 
 
 def rescaled(probability: Column, slope: float = 2.0, middle: float = 0.5) -> Column:
@@ -28,30 +31,17 @@ def rescaled(probability: Column, slope: float = 2.0, middle: float = 0.5) -> Co
     return 1 / (1 + F.exp(-slope * (probability - middle)))
 
 
-def closed_categories(frame: DataFrame, columns: list[str], limit: int = 200) -> list[str]:
-    """Categories with few enough values to be given a column each; the others are hashed."""
-    counts = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return [c for c in columns if counts[c] <= limit]
-
-
-def encoder(closed: list[str], hashed: list[str], hash_width: int = 512) -> list:
-    """Scale the numbers, one-hot the closed categories, hash the open ones, assemble."""
-    stages: list = [
-        VectorAssembler(inputCols=NUMBERS, outputCol="numbers"),
+def encoder(hash_width: int = 512, one_hot: list[str] = ONE_HOT, hashed: list[str] = HASHED) -> list:
+    """Scale the numbers, give the categories of a closed domain a column each, hash the open ones, assemble."""
+    return [
+        VectorAssembler(inputCols=[f"_{c}" for c in NUMBERS], outputCol="numbers"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
+        StringIndexer(inputCols=one_hot, outputCols=[f"{c}_index" for c in one_hot], handleInvalid="keep"),
+        OneHotEncoder(inputCols=[f"{c}_index" for c in one_hot], outputCols=[f"{c}_hot" for c in one_hot]),
+        FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=hash_width, categoricalCols=hashed),
+        VectorAssembler(
+            inputCols=["scaled", *[f"_{c}_FALTA" for c in NUMBERS], *[f"{c}_hot" for c in one_hot], "hashed"], outputCol="encoded"),
     ]
-    parts = ["scaled"]
-    if closed:
-        stages += [
-            StringIndexer(inputCols=closed, outputCols=[f"{c}_index" for c in closed], handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"{c}_index" for c in closed], outputCols=[f"{c}_hot" for c in closed]),
-        ]
-        parts += [f"{c}_hot" for c in closed]
-    if hashed:
-        stages.append(FeatureHasher(
-            inputCols=hashed, outputCol="hashed", numFeatures=hash_width, categoricalCols=hashed))
-        parts.append("hashed")
-    return [*stages, VectorAssembler(inputCols=parts, outputCol="encoded")]
 
 
 @dataclass
@@ -62,7 +52,7 @@ class RiskModel:
     pipeline: PipelineModel
 
     def _prepared(self, frame: DataFrame) -> DataFrame:
-        return self.texts.predict(frame, "OBJETO_PROPOSTA").withColumnRenamed("cluster", CLUSTER)
+        return filled(self.texts.predict(frame, "OBJETO_PROPOSTA").withColumnRenamed("cluster", CLUSTER))
 
     def predict(self, frame: DataFrame, proba: bool = False, scale: bool = False, name: str = "INSUCESSO") -> DataFrame:
         """Append the label (as double), the probability of failure, or that probability rescaled."""
@@ -109,18 +99,19 @@ def fit(
     label: str = "LABEL",
 ) -> RiskModel:
     """Fit on a labelled feature frame. The PCA solves a square problem of the encoded width on the
-    driver: at most ``hash_width`` + 200 per closed category, independent of the number of rows."""
+    driver: ``hash_width`` and a column per value of a closed domain, independent of the number of rows."""
     clusters = (texts or TextClusterer()).fit(frame, "OBJETO_PROPOSTA")
     model = RiskModel(clusters, None)
     prepared = model._prepared(frame).persist()
-    closed = closed_categories(prepared, CATEGORIES, 50)
-    hashed = [c for c in CATEGORIES if c not in closed]
     stages = [
-        *encoder(closed, hashed, hash_width),
+        *encoder(hash_width),
         PCA(k=components, inputCol="encoded", outputCol="components"),
         LogisticRegression(featuresCol="components", labelCol=label, maxIter=20, regParam=0.01),
     ]
-    model.pipeline = Pipeline(stages=stages).fit(prepared)
+    # read back from the shared folder, stages carry no training summary (nor the session that it holds)
+    folder = new_folder(frame.sparkSession)
+    Pipeline(stages=stages).fit(prepared).write().save(folder)
+    model.pipeline = PipelineModel.load(folder)
     prepared.unpersist()
     return model
 
@@ -131,7 +122,7 @@ def validation_metrics(model: RiskModel, frame: DataFrame, label: str = "LABEL")
     scored = scored.select(label, "score").persist()
     rows = [
         (name, float(BinaryClassificationEvaluator(
-            rawPredictionCol="score", labelCol=label, metricName=name).evaluate(scored)))
+            rawPredictionCol="score", labelCol=label, metricName=name, numBins=0).evaluate(scored)))
         for name in ("areaUnderROC", "areaUnderPR")]
     hit, actual = F.col("score") > 0.5, F.col(label) == 1
     table = scored.agg(
@@ -150,9 +141,7 @@ def validation_metrics(model: RiskModel, frame: DataFrame, label: str = "LABEL")
 def score_live(grants: DataFrame, mart: dict[str, DataFrame], model: RiskModel) -> DataFrame:
     """Grants fact with the rescaled risk of every live grant, joined by key. The highest score
     stands where a grant has several feature rows."""
-    from outorga.risk.features import complete, feature_frame, live
-
-    frame = complete(feature_frame(live(grants), mart))
+    frame = feature_frame(live(grants), mart)
     scores = model.predict(frame, proba=True, scale=True, name="_score").groupBy("NR_CONVENIO").agg(
         F.max("_score").alias("_score"))
     return write_back(grants, scores, "NR_CONVENIO", "INSUCESSO", "_score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,13 +58,12 @@ class TextClusterer:
         words = F.filter(words, lambda w: F.length(w) > 1)
         return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(self.width)).cast("string"))
 
-    def _counter(self, spark: SparkSession) -> CountVectorizerModel:
+    def _counter(self) -> CountVectorizerModel:
         """Counts terms per column; its vocabulary is the ``width`` column names."""
-        names = spark.range(self.width).select(F.array(F.col("id").cast("string")).alias("_terms"))
-        return CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=self.width, minDF=0).fit(names)
+        return CountVectorizerModel.from_vocabulary([str(k) for k in range(self.width)], inputCol="_terms", outputCol="_tf")
 
     def fit(self, docs: DataFrame, text: str) -> "TextClusters":
-        clusters = TextClusters(self, self._counter(docs.sparkSession), [], None)
+        clusters = TextClusters(self, self._counter(), [], None)
         counts = clusters.counts(docs.select(text), text).select("_tf").persist()  # several passes follow
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts)
         clusters.scale = [float(i) + 1.0 if n > 0 else 0.0 for i, n in zip(idf.idf.toArray(), idf.docFreq)]

@@ -93,3 +93,21 @@ def test_label_and_write_back(spark):
     base = df.select("k", F.lit(0.0).alias("INSUCESSO"))
     scores = spark.createDataFrame([(2, 0.7)], "k int, v double")
     assert [r[1] for r in model.write_back(base, scores, "k", "INSUCESSO", "v").orderBy("k").collect()] == [0.0, 0.7, 0.0, 0.0]
+
+
+def test_fitted_model_scores_after_a_snapshot(spark, frame, fitted, tmp_path):
+    import datetime as dt
+
+    from outorga.sources.snapshots import Snapshots
+
+    before = fitted.predict(frame, proba=True).agg(F.sum("INSUCESSO")).first()[0]
+    Snapshots(spark, str(tmp_path)).write(frame, "mart", "grants", dt.date(2022, 3, 5))
+    assert fitted.predict(frame, proba=True).agg(F.sum("INSUCESSO")).first()[0] == pytest.approx(before)
+
+
+def test_grants_with_gaps_are_scored_and_live_ones_not_learned(spark, frame, fitted):
+    gaps = frame.withColumn("VL_REPASSE_CONV", F.lit(None).cast("double")).withColumn("COD_ORGAO", F.lit(None).cast("long"))
+    scored = fitted.predict(gaps, proba=True)
+    assert scored.columns == [*frame.columns, "INSUCESSO"] and scored.where("INSUCESSO is null or VL_REPASSE_CONV is not null").count() == 0
+    grants = spark.createDataFrame([(1, features.fixed.LIVE_STATUS), (2, "INADIMPLENTE"), (3, None)], "k int, SIT_CONVENIO string")
+    assert sorted(r["k"] for r in features.finished(grants).collect()) == [2, 3]
