@@ -1,11 +1,11 @@
 """Near duplicates: exact Jaccard join on word shingles by token combinations.
 
-Texts with the same set of shingles are one class. The shingles of a class are put in one order, that of their
-hashes, and its first ones, more than the least prefix, are indexed: of sets whose Jaccard likeness reaches the
-threshold, prefixes extended by l share at least l shingles. From this follow
+Texts with the same set of shingles are one class. Of sets whose Jaccard likeness reaches the threshold, prefixes
+in any one order of shingles, the least prefix extended by l, share at least l shingles. From this follow
 
-- which classes can have a partner at all: those with l prefix shingles that some other class has too;
-- stars: each class is compared with the smallest class that shares one of its first shingles. Verified
+- which classes can have a partner at all: those with l prefix shingles, in the order of hashes, that some other
+  class has too. Only their whole sets are kept;
+- stars: in a few turns, each class is compared with one class for each of three of its shingles. Verified
   links make preliminary components, so that groups of near copies need no pairs among themselves;
 - the rest, exactly: shingles found in two or more components are rare (in few classes) or frequent. A rare one is
   a key by itself, frequent ones are keys in combinations of two out of the same token class (hash modulo g;
@@ -36,6 +36,7 @@ WIDTH = 5
 PERCENT = 80
 RARE = 8  # classes that may share a rare shingle
 MOST_BITS = 27  # of the map of shared shingles that is broadcast: 16 MB
+TURNS = 3  # of stars
 CHARS = 2_000_000
 
 _TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -177,7 +178,7 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> Da
 
     side = lambda name: classes.select(F.col("sig").alias(f"_{name}"), F.col("tokens").alias(f"t{name}"))
     both = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b")).select("a", "b", "ta", "tb")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -200,14 +201,32 @@ def _close(percent: int = PERCENT):
     return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """(a, b): each class with the smallest class of each of its first shared shingles."""
-    centre = rows.groupBy("token").agg(F.min(F.struct("sig", "n")).alias("c"), F.count("*").alias("k")).filter("k > 1")
-    first = rows.filter("place < 3").join(centre, "token").filter(F.col("sig") != F.col("c.sig"))
-    return first.select(F.col("sig").alias("a"), F.col("c.sig").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb")).filter(
+def _known(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """The prefix shingles with the component of their class, those found in two or more components only, and ``k``,
+    the number of classes that have the shingle."""
+    known = rows.select("sig", "n", "token").join(comps.select(F.col("sig").alias("_s"), "comp"), F.col("sig") == F.col("_s"), "left").select(
+        "sig", "n", "token", F.coalesce("comp", "sig").alias("comp"))
+    mixed = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).filter("x <> y").select(
+        F.col("token").alias("_t"), "k")
+    return stored(known.join(mixed, F.col("token") == F.col("_t")).select("sig", "n", "token", "comp", "k"))
+
+
+def _stars(known: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each class with one of another component out of those that share some of its shingles; which
+    ones goes by hashes that change with each turn."""
+    centre = known.groupBy("token").agg(F.min_by(F.struct("sig", "n", "comp"), F.xxhash64("sig", F.lit(turn))).alias("c"))
+    lists = known.groupBy("sig", "n", "comp").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("token", F.lit(turn)).alias("h"), "token"))).alias("s"))
+    first = lists.filter(_enough()).select("sig", "n", "comp", F.explode(F.slice("s", 1, 3)).alias("t"))
+    pairs = first.join(centre, F.col("t.token") == F.col("token")).filter(F.col("comp") != F.col("c.comp"))
+    return pairs.select(F.col("sig").alias("a"), F.col("c.sig").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb")).filter(
         _close()).select("a", "b").distinct()
 
 
+def _enough(percent: int = PERCENT):
+    """Whether the list s holds the ``overlap`` of n."""
+    return F.size("s") >= F.ceil(percent * F.col("n") / 100)
+
+
 def _level(n: int) -> int:
     """Sizes of two partners differ by one level at most."""
     level, bound = 0, 1
@@ -223,16 +242,15 @@ def _level_size(level: int) -> int:
     return bound
 
 
-def keys(n: int, tokens: list[int], counts: list[int]) -> list[int]:
-    """Keys of a class by its mixed prefix shingles, of which partners share ``least_shared``. So the first ones in
-    order of rarity, all but that many and g + 1 more, still share g + 1: rare ones are keys singly, frequent ones in
-    pairs out of one of g token classes."""
+def keys(n: int, tokens: list[int], counts: list[int], percent: int = PERCENT) -> list[int]:
+    """Keys of a class by its mixed shingles, of which partners share ``overlap``. So the first ones in order of
+    rarity, all but that many and g + 1 more, still share g + 1: rare ones are keys singly, frequent ones in pairs out
+    of one of g token classes. g goes by level, so that partners agree on it."""
     order = sorted(zip(counts, tokens))
     out: set[int] = set()
     for lv in {_level(n), max(_level(n) - 1, 0)}:
-        least = least_shared(_level_size(lv))
-        groups = (least - 1) // 2
-        first = order[: max(len(order) - least + groups + 1, 0)]
+        groups = min(max(_level_size(lv) // 40, 1), overlap(_level_size(lv), percent) - 1)
+        first = order[: max(len(order) - overlap(n, percent) + groups + 1, 0)]
         out.update(t for c, t in first if c <= RARE)
         frequent = sorted(t for c, t in first if c > RARE)
         if groups < 1:
@@ -245,26 +263,21 @@ def keys(n: int, tokens: list[int], counts: list[int]) -> list[int]:
     return list(out)
 
 
-def _candidates(rows: DataFrame, comps: DataFrame) -> DataFrame:
+def _candidates(known: DataFrame) -> DataFrame:
     """(a, b): classes of different components that meet in a key."""
-    known = rows.join(comps.select(F.col("sig").alias("_s"), "comp"), F.col("sig") == F.col("_s"), "left").select(
-        "sig", "n", "token", F.coalesce("comp", "sig").alias("comp"))
-    mixed = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).filter("x <> y").select(
-        F.col("token").alias("_t"), "k")
-    lists = known.join(mixed, F.col("token") == F.col("_t")).groupBy("sig", "n", "comp").agg(F.collect_list(F.struct("token", "k")).alias("s"))
+    lists = known.groupBy("sig", "n", "comp").agg(F.collect_list(F.struct("token", "k")).alias("s")).filter(_enough())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, out = [], []
             for i, (n, s) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())):
-                if len(s) >= least_shared(n):
-                    got = keys(n, [x["token"] for x in s], [x["k"] for x in s])
-                    at += [i] * len(got)
-                    out += got
+                got = keys(n, [x["token"] for x in s], [x["k"] for x in s])
+                at += [i] * len(got)
+                out += got
             part = batch.select(["sig", "n", "comp"]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.int64())], ["sig", "n", "comp", "key"])
 
-    keyed = stored(lists.mapInArrow(run, "sig binary, n long, comp binary, key long"))
+    keyed = stored(lists.mapInArrow(run, "sig long, n long, comp long, key long"))
     useful = keyed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select(F.col("key").alias("_k"))
     keyed = stored(keyed.join(useful, F.col("key") == F.col("_k"), "left_semi"))
     side = lambda s: keyed.select(F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("comp").alias(f"c{s}"), F.col("key").alias(f"k{s}"))
@@ -277,26 +290,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     bits = spark.sparkContext.broadcast(shared_map(documents))
     sets = stored(described(documents, bits))
-    classes = stored(sets.filter(F.col("tokens").isNotNull()).groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    # a number stands for each class from here on; written down, it stays
+    classes = stored(sets.filter(F.col("tokens").isNotNull()).groupBy(F.col("sig").alias("digest")).agg(
+        F.first("n").alias("n"), F.first("tokens").alias("tokens")).withColumn("sig", F.monotonically_increasing_id()))
 
-    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [np.frombuffer(t, np.uint64) for t in batch.column(2).to_pylist()]
-            tokens = [t[: prefix(len(t))] for t in tokens]
-            tokens = [t[_is_shared(t, bits.value)] for t in tokens]
-            sizes = [len(t) for t in tokens]
-            part = batch.select(["sig", "n"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-            place = np.concatenate([np.arange(k) for k in sizes] or [np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(np.concatenate(tokens or [np.zeros(0, np.uint64)]).view(np.int64)), pa.array(place, pa.int64())],
-                ["sig", "n", "token", "place"])
-
-    rows = stored(classes.select("sig", "n", "tokens").mapInArrow(indexed, "sig binary, n long, token long, place long"))
-    stars = stored(verified(stored(_stars(rows)), classes))
-    rest = verified(stored(_candidates(rows, components(stars))), classes)
-    comps = components(stored(stars.union(rest)))
-    members = sets.select("doc_id", "n", "sig").join(comps.select(F.col("sig").alias("_s"), "comp"), F.col("sig") == F.col("_s"), "left").select(
-        "doc_id", "n", F.coalesce("comp", "sig").alias("comp"))
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                tokens = [np.frombuffer(t, np.int64) for t in part.column(2).to_pylist()]
+                sizes = [len(t) for t in tokens]
+                ids = part.select(["sig", "n"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+                yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(np.concatenate(tokens))], ["sig", "n", "token"])
+
+    rows = classes.select("sig", "n", "tokens").mapInArrow(listed, "sig long, n long, token long")
+    links = spark.createDataFrame([], "a long, b long")
+    for turn in range(TURNS):
+        rows = _known(rows, components(links))  # a shingle found in one component only is of no more use
+        links = links.union(stored(verified(stored(_stars(rows, turn)), classes)))
+    comps = components(links.union(stored(verified(stored(_candidates(_known(rows, components(links)))), classes))))
+    groups = stored(classes.select("digest", "sig").join(comps.withColumnRenamed("sig", "_s"), F.col("sig") == F.col("_s"), "left").select(
+        "digest", F.coalesce("comp", "sig").cast("string").alias("comp")))
+    members = sets.select("doc_id", "n", "sig").join(groups, F.col("sig") == F.col("digest"), "left").select(
+        "doc_id", "n", F.coalesce("comp", F.hex("sig")).alias("comp"))
     members = stored(members)
     least = members.filter(F.col("comp").isNotNull()).groupBy(F.col("comp").alias("_c")).agg(F.min("doc_id").alias("least"), F.count("*").alias("k")).filter("k > 1")
     return members.join(least, F.col("comp") == F.col("_c"), "left").select(

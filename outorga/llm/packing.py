@@ -14,10 +14,10 @@ Extra columns are not looked at.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,9 +33,22 @@ GRID = 512
 END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal int"
 DEALS = 4096  # pieces are dealt round to so many hands, so that no group to be numbered need be large
-HAND = 50_000  # pieces of one length that are numbered together, about
+HAND = 5_000  # pieces of one length that are numbered together, about
 CHARS = 2_000_000  # characters tokenized at a time
-WORDS = 500_000  # words a worker remembers
+WORDS = 1_200_000  # words a worker remembers
+
+
+class Known(dict):
+    """Numbers of words; a word met for the first time gets the next one and is noted as new."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        self.new.append(word)
+        return k
 
 
 class Encoder:
@@ -43,8 +56,6 @@ class Encoder:
     space, so a text's ids are those of its words; texts with separators that only Python takes for white
     space go through the tokenizer whole."""
 
-    ODD = re.compile("[\x1c-\x1f]")
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -58,42 +69,43 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Known()
         self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.mark not in w]
-        ids, sizes = [], []
-        for batch in range(0, len(plain), 2000):
-            joined = f" {self.mark} ".join(plain[batch : batch + 2000]) + f" {self.mark}"
-            got = np.array(self._ids(joined), np.uint32)
-            ends = np.flatnonzero(got == self.mark_id)
-            sizes.append(np.diff(np.r_[-1, ends]) - 1)
-            ids.append(got[got != self.mark_id])
-        for w in words:
-            if self.mark in w:
-                plain.append(w)
-                ids.append(np.array(self._ids(w), np.uint32))
+    def _learn(self) -> None:
+        words, self.known.new = self.known.new, []
+        ids, sizes, at = [], [], 0
+        while at < len(words):
+            if self.mark in words[at]:
+                ids.append(np.array(self._ids(words[at]), np.uint32))
                 sizes.append(np.array([len(ids[-1])]))
-        n, sizes = len(self.sizes), np.concatenate(sizes).astype(np.int64)
+                at += 1
+                continue
+            run = words[at : at + 500]
+            run = run[: next((k for k, w in enumerate(run) if self.mark in w), len(run))]
+            got = np.array(self._ids(f" {self.mark} ".join(run) + f" {self.mark}"), np.uint32)
+            sizes.append(np.diff(np.r_[-1, np.flatnonzero(got == self.mark_id)]) - 1)
+            ids.append(got[got != self.mark_id])
+            at += len(run)
+        sizes = np.concatenate(sizes).astype(np.int64)
         self.starts = np.r_[self.starts, len(self.flat) + np.r_[0, np.cumsum(sizes)[:-1]]]
         self.sizes, self.flat = np.r_[self.sizes, sizes], np.concatenate([self.flat, *ids])
-        self.known.update(zip(plain, range(n, n + len(plain))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without an end."""
-        parts = [[] if self.ODD.search(t) else t.split() for t in texts]
-        words = [w for p in parts for w in p]
+        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
+        parts = [[] if o else t.split() for o, t in zip(odd, texts)]
         if len(self.known) > WORDS:
             self._forget()
-        if new := list(set(words) - self.known.keys()):
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        cuts = np.cumsum([0, *map(len, parts)])
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, cuts[-1])
+        if self.known.new:
+            self._learn()
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-        cuts = np.r_[0, ends][np.cumsum([0, *map(len, parts)])]
-        return [np.array(self._ids(t), np.uint32) if self.ODD.search(t) else flat[cuts[i] : cuts[i + 1]] for i, t in enumerate(texts)]
+        cuts = np.r_[0, ends][cuts]
+        return [np.array(self._ids(t), np.uint32) if o else flat[cuts[i] : cuts[i + 1]] for i, (o, t) in enumerate(zip(odd, texts))]
 
 
 @cache
