@@ -37,6 +37,7 @@ PERCENT = 80
 RARE = 8  # classes that may share a rare shingle
 MOST_BITS = 27  # of the map of shared shingles that is broadcast: 16 MB
 TURNS = 3  # of stars
+BEFORE = 3  # keys before each one that are looked at, so that a pair is not emitted for every key it shares
 CHARS = 2_000_000
 
 _TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -198,33 +199,42 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _close(percent: int = PERCENT):
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    """Whether classes of na and nb shingles, of which other components have ma and mb, can be partners: all that
+    two classes of different components share is found in other components."""
+    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (
+        (100 + percent) * F.least("ma", "mb") >= percent * (F.col("na") + F.col("nb")))
 
 
-def _known(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """The prefix shingles with the component of their class, those found in two or more components only, and ``k``,
-    the number of classes that have the shingle."""
+def _known(rows: DataFrame, comps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(sig, n, comp, s): per class its component and list of (token, k), the shingles found in two or more components
+    and in how many classes. Classes with too few of them have no partner outside their component and are left out."""
     known = rows.select("sig", "n", "token").join(comps.select(F.col("sig").alias("_s"), "comp"), F.col("sig") == F.col("_s"), "left").select(
         "sig", "n", "token", F.coalesce("comp", "sig").alias("comp"))
     mixed = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).filter("x <> y").select(
         F.col("token").alias("_t"), "k")
-    return stored(known.join(mixed, F.col("token") == F.col("_t")).select("sig", "n", "token", "comp", "k"))
+    known = known.join(mixed, F.col("token") == F.col("_t"))
+    return stored(known.groupBy("sig", "n", "comp").agg(F.collect_list(F.struct("token", "k")).alias("s")).filter(
+        F.size("s") >= F.ceil(percent * F.col("n") / 100)))
 
 
-def _stars(known: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each class with one of another component out of those that share some of its shingles; which
-    ones goes by hashes that change with each turn."""
-    centre = known.groupBy("token").agg(F.min_by(F.struct("sig", "n", "comp"), F.xxhash64("sig", F.lit(turn))).alias("c"))
-    lists = known.groupBy("sig", "n", "comp").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("token", F.lit(turn)).alias("h"), "token"))).alias("s"))
-    first = lists.filter(_enough()).select("sig", "n", "comp", F.explode(F.slice("s", 1, 3)).alias("t"))
-    pairs = first.join(centre, F.col("t.token") == F.col("token")).filter(F.col("comp") != F.col("c.comp"))
-    return pairs.select(F.col("sig").alias("a"), F.col("c.sig").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb")).filter(
-        _close()).select("a", "b").distinct()
+def _rows(lists: DataFrame) -> DataFrame:
+    """One row for each shingle of the lists."""
+    return lists.select("sig", "n", "comp", F.size("s").alias("m"), F.explode("s").alias("t")).select("sig", "n", "comp", "m", "t.token")
 
 
-def _enough(percent: int = PERCENT):
-    """Whether the list s holds the ``overlap`` of n."""
-    return F.size("s") >= F.ceil(percent * F.col("n") / 100)
+def _stars(lists: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each class with one of another component for each of three of its shingles. That one is the class most
+    of whose shingles others have, which is the most likely to be near many, in every other turn; in those between, it
+    and the shingles go by hashes that change with each turn."""
+    hashed = F.xxhash64("sig", F.lit(turn))
+    best = F.struct((-F.col("m") / F.col("n")).alias("share"), hashed.alias("h")) if turn % 2 == 0 else hashed
+    centre = _rows(lists).groupBy("token").agg(F.min_by(F.struct("sig", "n", "comp", "m"), best).alias("c"))
+    order = F.array_sort(F.transform("s", lambda x: F.struct(F.xxhash64(x["token"], F.lit(turn)).alias("h"), x["token"].alias("token"))))
+    first = lists.select("sig", "n", "comp", F.size("s").alias("m"), F.explode(F.slice(order, 1, 3)).alias("t"))
+    pairs = first.join(centre, F.col("t.token") == F.col("token")).filter(F.col("comp") != F.col("c.comp"))
+    return pairs.select(
+        F.col("sig").alias("a"), F.col("c.sig").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb"),
+        F.col("m").alias("ma"), F.col("c.m").alias("mb")).filter(_close()).select("a", "b").distinct()
 
 
 def _level(n: int) -> int:
@@ -247,42 +257,53 @@ def keys(n: int, tokens: list[int], counts: list[int], percent: int = PERCENT) -
     rarity, all but that many and g + 1 more, still share g + 1: rare ones are keys singly, frequent ones in pairs out
     of one of g token classes. g goes by level, so that partners agree on it."""
     order = sorted(zip(counts, tokens))
-    out: set[int] = set()
+    out: dict[int, None] = {}  # in this order, partners share runs of keys
     for lv in {_level(n), max(_level(n) - 1, 0)}:
         groups = min(max(_level_size(lv) // 40, 1), overlap(_level_size(lv), percent) - 1)
         first = order[: max(len(order) - overlap(n, percent) + groups + 1, 0)]
-        out.update(t for c, t in first if c <= RARE)
+        out.update(dict.fromkeys(t for c, t in first if c <= RARE))
         frequent = sorted(t for c, t in first if c > RARE)
         if groups < 1:
-            out.update(xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63) for t in frequent)
+            out.update(dict.fromkeys(xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63) for t in frequent))
             continue
         by_group: dict[int, list[int]] = {}
         for t in frequent:
             by_group.setdefault(t % groups, []).append(t)
-        out.update(xxhash.xxh3_64_intdigest(f"{lv}:{a}:{b}") - (1 << 63) for g in by_group.values() for a, b in combinations(g, 2))
+        out.update(dict.fromkeys(xxhash.xxh3_64_intdigest(f"{lv}:{a}:{b}") - (1 << 63) for g in by_group.values() for a, b in combinations(g, 2)))
     return list(out)
 
 
-def _candidates(known: DataFrame) -> DataFrame:
-    """(a, b): classes of different components that meet in a key."""
-    lists = known.groupBy("sig", "n", "comp").agg(F.collect_list(F.struct("token", "k")).alias("s")).filter(_enough())
+def _candidates(lists: DataFrame) -> DataFrame:
+    """(a, b): classes of different components that meet in a key. Two that share the key before this one, or the one
+    before that, in either's order have met there already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, out = [], []
+            at, out, before = [], [], [[] for _ in range(BEFORE)]
             for i, (n, s) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())):
                 got = keys(n, [x["token"] for x in s], [x["k"] for x in s])
                 at += [i] * len(got)
                 out += got
-            part = batch.select(["sig", "n", "comp"]).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.int64())], ["sig", "n", "comp", "key"])
+                for d, column in enumerate(before, 1):
+                    column += [None] * min(d, len(got)) + got[: max(len(got) - d, 0)]
+            sizes = pa.array([len(s) for s in batch.column(3)], pa.int32())
+            part = pa.RecordBatch.from_arrays([*batch.select(["sig", "n", "comp"]).columns, sizes], ["sig", "n", "comp", "m"])
+            part = part.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(out, pa.int64()), *[pa.array(x, pa.int64()) for x in before]], kinds.replace(" long", "").replace(" int", "").split(", "))
 
-    keyed = stored(lists.mapInArrow(run, "sig long, n long, comp long, key long"))
+    kinds = ", ".join(["sig long, n long, comp long, m int, key long", *[f"p{d} long" for d in range(BEFORE)]])
+    keyed = stored(lists.mapInArrow(run, kinds))
     useful = keyed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select(F.col("key").alias("_k"))
     keyed = stored(keyed.join(useful, F.col("key") == F.col("_k"), "left_semi"))
-    side = lambda s: keyed.select(F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("comp").alias(f"c{s}"), F.col("key").alias(f"k{s}"))
-    return side("a").join(side("b"), (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _close()).select(
-        "a", "b").distinct()
+    names = {"sig": "", "n": "n", "comp": "c", "m": "m", "key": "k"} | {f"p{d}": f"p{d}" for d in range(BEFORE)}
+    side = lambda s: keyed.select(*[F.col(c).alias(f"{p}{s}") for c, p in names.items()])
+    met = F.lit(False)
+    for d in range(BEFORE):
+        for e in range(BEFORE):
+            met = met | F.col(f"p{d}a").eqNullSafe(F.col(f"p{e}b")) & F.col(f"p{d}a").isNotNull()
+    return side("a").join(
+        side("b"), (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _close() & ~met).select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -305,10 +326,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     rows = classes.select("sig", "n", "tokens").mapInArrow(listed, "sig long, n long, token long")
     links = spark.createDataFrame([], "a long, b long")
+    lists = _known(rows, components(links))
     for turn in range(TURNS):
-        rows = _known(rows, components(links))  # a shingle found in one component only is of no more use
-        links = links.union(stored(verified(stored(_stars(rows, turn)), classes)))
-    comps = components(links.union(stored(verified(stored(_candidates(_known(rows, components(links)))), classes))))
+        links = links.union(stored(verified(stored(_stars(lists, turn)), classes)))
+        lists = _known(_rows(lists), components(links))  # a shingle found in one component only is of no more use
+    comps = components(links.union(stored(verified(stored(_candidates(lists)), classes))))
     groups = stored(classes.select("digest", "sig").join(comps.withColumnRenamed("sig", "_s"), F.col("sig") == F.col("_s"), "left").select(
         "digest", F.coalesce("comp", "sig").cast("string").alias("comp")))
     members = sets.select("doc_id", "n", "sig").join(groups, F.col("sig") == F.col("digest"), "left").select(
