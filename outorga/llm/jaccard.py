@@ -10,7 +10,8 @@ in any one order of shingles, the least prefix extended by l, share at least l s
 - the rest, exactly: shingles found in two or more components are rare (in few classes) or frequent. A rare one is
   a key by itself, frequent ones are keys in combinations of two out of the same token class (hash modulo g;
   two sets that share g + 1 of them share two in one of the g). Classes of different components that meet in a key
-  are verified on their whole sets.
+  are a candidate if the key lies in the prefixes that the sizes of these two call for, which are much shorter than
+  those that any partner might call for. Candidates are verified on their whole sets.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is its own component;
 repeated documents are in one component; a null doc_id is no candidate for the smallest; an empty table gives an
@@ -37,7 +38,7 @@ PERCENT = 80
 RARE = 8  # classes that may share a rare shingle
 MOST_BITS = 27  # of the map of shared shingles that is broadcast: 16 MB
 TURNS = 3  # of stars
-BEFORE = 3  # keys before each one that are looked at, so that a pair is not emitted for every key it shares
+GROUP = 100  # shingles of a set for each token class of frequent ones
 CHARS = 2_000_000
 
 _TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -252,58 +253,56 @@ def _level_size(level: int) -> int:
     return bound
 
 
-def keys(n: int, tokens: list[int], counts: list[int], percent: int = PERCENT) -> list[int]:
-    """Keys of a class by its mixed shingles, of which partners share ``overlap``. So the first ones in order of
-    rarity, all but that many and g + 1 more, still share g + 1: rare ones are keys singly, frequent ones in pairs out
-    of one of g token classes. g goes by level, so that partners agree on it."""
+def keys(n: int, tokens: list[int], counts: list[int], percent: int = PERCENT) -> dict[int, tuple[int, int]]:
+    """Keys of a class by its mixed shingles, each with the rank of its last shingle in order of rarity and g. Of two
+    sets that share o of their m and m' shingles, the first m - o + g + 1 and m' - o + g + 1 in that order share g + 1:
+    rare ones are keys singly, frequent ones in pairs out of one of g token classes. g goes by level, so that partners
+    agree on it. Here o is the least that any partner shares; what a pair at hand must share is looked at where it meets."""
     order = sorted(zip(counts, tokens))
-    out: dict[int, None] = {}  # in this order, partners share runs of keys
+    out: dict[int, tuple[int, int]] = {}
     for lv in {_level(n), max(_level(n) - 1, 0)}:
-        groups = min(max(_level_size(lv) // 40, 1), overlap(_level_size(lv), percent) - 1)
-        first = order[: max(len(order) - overlap(n, percent) + groups + 1, 0)]
-        out.update(dict.fromkeys(t for c, t in first if c <= RARE))
-        frequent = sorted(t for c, t in first if c > RARE)
-        if groups < 1:
-            out.update(dict.fromkeys(xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63) for t in frequent))
-            continue
-        by_group: dict[int, list[int]] = {}
-        for t in frequent:
-            by_group.setdefault(t % groups, []).append(t)
-        out.update(dict.fromkeys(xxhash.xxh3_64_intdigest(f"{lv}:{a}:{b}") - (1 << 63) for g in by_group.values() for a, b in combinations(g, 2)))
-    return list(out)
-
-
-def _candidates(lists: DataFrame) -> DataFrame:
-    """(a, b): classes of different components that meet in a key. Two that share the key before this one, or the one
-    before that, in either's order have met there already."""
+        groups = min(max(_level_size(lv) // GROUP, 1), overlap(_level_size(lv), percent) - 1)
+        by_group: dict[int, list[tuple[int, int]]] = {}
+        for rank, (c, t) in enumerate(order[: max(len(order) - overlap(n, percent) + groups + 1, 0)]):
+            if c <= RARE:
+                out[t] = (rank, max(groups, out.get(t, (0, 0))[1]))
+            elif groups < 1:
+                out[xxhash.xxh3_64_intdigest(f"{lv}:{t}") - (1 << 63)] = (rank, groups)
+            else:
+                by_group.setdefault(t % groups, []).append((t, rank))
+        for g in by_group.values():
+            for (x, i), (y, j) in combinations(sorted(g), 2):
+                out[xxhash.xxh3_64_intdigest(f"{lv}:{x}:{y}") - (1 << 63)] = (max(i, j), groups)
+    return out
+
+
+def _candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): classes of different components that meet in a key within the prefixes that this pair needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, out, before = [], [], [[] for _ in range(BEFORE)]
-            for i, (n, s) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())):
-                got = keys(n, [x["token"] for x in s], [x["k"] for x in s])
-                at += [i] * len(got)
-                out += got
-                for d, column in enumerate(before, 1):
-                    column += [None] * min(d, len(got)) + got[: max(len(got) - d, 0)]
-            sizes = pa.array([len(s) for s in batch.column(3)], pa.int32())
-            part = pa.RecordBatch.from_arrays([*batch.select(["sig", "n", "comp"]).columns, sizes], ["sig", "n", "comp", "m"])
-            part = part.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(out, pa.int64()), *[pa.array(x, pa.int64()) for x in before]], kinds.replace(" long", "").replace(" int", "").split(", "))
+            for first in range(0, batch.num_rows, 200):
+                part = batch.slice(first, 200)
+                got = [keys(n, [x["token"] for x in s], [x["k"] for x in s]) for n, s in zip(part.column(1).to_pylist(), part.column(3).to_pylist())]
+                at = pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]))
+                sizes = pa.array([len(s) for s in part.column(3)], pa.int32())
+                places = [p for g in got for p in g.values()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.select(["sig", "n", "comp"]).take(at).columns, sizes.take(at), pa.array([k for g in got for k in g], pa.int64()),
+                     pa.array([p[0] for p in places], pa.int32()), pa.array([p[1] for p in places], pa.int32())], names)
 
-    kinds = ", ".join(["sig long, n long, comp long, m int, key long", *[f"p{d} long" for d in range(BEFORE)]])
+    kinds = "sig long, n long, comp long, m int, key long, rank int, g int"
+    names = [c.split()[0] for c in kinds.split(", ")]
     keyed = stored(lists.mapInArrow(run, kinds))
     useful = keyed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select(F.col("key").alias("_k"))
     keyed = stored(keyed.join(useful, F.col("key") == F.col("_k"), "left_semi"))
-    names = {"sig": "", "n": "n", "comp": "c", "m": "m", "key": "k"} | {f"p{d}": f"p{d}" for d in range(BEFORE)}
-    side = lambda s: keyed.select(*[F.col(c).alias(f"{p}{s}") for c, p in names.items()])
-    met = F.lit(False)
-    for d in range(BEFORE):
-        for e in range(BEFORE):
-            met = met | F.col(f"p{d}a").eqNullSafe(F.col(f"p{e}b")) & F.col(f"p{d}a").isNotNull()
+    sides = {"sig": "", "n": "n", "comp": "c", "m": "m", "key": "k", "rank": "r", "g": "g"}
+    side = lambda s: keyed.select(*[F.col(c).alias(f"{p}{s}") for c, p in sides.items()])
+    shared = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    more = F.greatest("ga", "gb") + 1 - shared
+    near = (F.col("ra") < F.col("ma") + more) & (F.col("rb") < F.col("mb") + more)
     return side("a").join(
-        side("b"), (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _close() & ~met).select("a", "b").distinct()
+        side("b"), (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _close() & near).select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
