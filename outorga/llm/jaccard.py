@@ -129,9 +129,9 @@ def shared_map(documents: DataFrame) -> np.ndarray:
     bits = min(max(int(16 * shared.count()).bit_length(), 16), MOST_BITS)
     place = F.col("token").bitwiseAND(F.lit((1 << bits) - 1))
     words = shared.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((token & {(1 << bits) - 1}L) % 64 as int))")).alias("bits")).toPandas()
+        F.bit_or(F.expr(f"shiftleft(1L, cast((token & {(1 << bits) - 1}L) % 64 as int))")).alias("bits")).toArrow()  # 32 MB at most
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
