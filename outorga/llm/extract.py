@@ -27,7 +27,9 @@ NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
              "sup time tt u var wbr br img".split())
-RAW = set("script style noscript template textarea title iframe svg math object select option noframes xmp".split())
+RAW = set("script style noscript template textarea title iframe svg math object select datalist noframes xmp".split())
+#: Those that browsers read as mere text, to the end of the page where their end tag is missing.
+MERE_TEXT = set("script style noscript template textarea title iframe noframes xmp".split())
 HEAD = set("title meta link style script base noscript template head".split())
 FURNITURE = set("nav footer aside form button menu dialog fieldset figure-menu head select".split())
 #: Parts of a class, id or role that mark furniture.
@@ -62,7 +64,8 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
     out: list[tuple[str, str, int, bool, bool]] = []
     stack: list[tuple[str, str, bool, bool]] = []  # tag, path, furniture, within
     text: list[str] = []
-    linked, here, until, at = 0, ("", False, False), None, 0
+    linked, here, at = 0, ("", False, False), 0
+    endless: set[str] = set()  # raw elements without an end tag further on
 
     def flush() -> None:
         nonlocal linked
@@ -94,17 +97,12 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
         del stack[k:]
         here = place()
 
-    for m in TOKEN.finditer(page):
-        if until is None:
-            add(page[at : m.start()])
+    while m := TOKEN.search(page, at):
+        add(page[at : m.start()])
         at = m.end()
         end, tag, attributes = m.group(1), (m.group(2) or "").lower(), m.group(3)
         if not tag:
             continue
-        if until is not None:
-            if end and tag == until:
-                until = None
-            continue
         if end:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if k is not None:
@@ -118,8 +116,13 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
         if tag in RAW and not attributes.endswith("/"):
             if tag not in ("script", "style", "noscript", "template") and tag not in INLINE:
                 flush()
-            until = tag
-            continue
+            # what is inside is no markup: '<n;i++){}</script>' is not a tag
+            stop = None if tag in endless else re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            if stop is None:
+                endless.add(tag)
+            if stop or tag in MERE_TEXT:
+                at = stop.end() if stop else len(page)
+                continue
         if tag not in INLINE:
             if tag not in HEAD and (k := next((k for k, s in enumerate(stack) if s[0] == "head"), None)) is not None:
                 close(k)
@@ -144,8 +147,7 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
         elif stack[-1][2] and not here[1]:
             flush()
             here = place()
-    if until is None:
-        add(page[at:])
+    add(page[at:])
     flush()
     return out
 

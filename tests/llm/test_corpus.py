@@ -237,6 +237,16 @@ def test_main_text(spark):
     assert by_id[4].n_chars == len("long text, " * 20000) - 1
 
 
+def test_main_text_after_raw_elements():
+    body = "<p>A long sentence of the page, with points, and more of it here.</p>"
+    script = "<script>for(i=0;i<n;i++){}</script>"
+    assert extract.content(f"<body>{script}{body}</body>") == extract.content(f"<body>{body}{script}</body>") == [body[3:-4]]
+    assert extract.content(f"<body>{body}<SCRIPT>if(a<b){{}}</Script >{body}") == [body[3:-4]] * 2
+    assert extract.content(f"<datalist><option value=a>one<option>two</datalist>{body}") == [body[3:-4]]
+    assert extract.content(f"<datalist><option>one{body}")[-1:] == [body[3:-4]]
+    assert extract.content(f"{body}<script>if(a<b) {body}") == [body[3:-4]]
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
