@@ -4,7 +4,9 @@ A page is cut into blocks, each with its path of tags (and their classes) from t
 punctuation and linked text are added up over its blocks; the ratio of a path is its text per block, raised by
 punctuation and lowered by links. Ratios are smoothed along the page, so that a heading beside long paragraphs
 counts with them, fused with those of the path and of its surroundings, and paths above a share of the page's
-weighted mean are content. Paths through elements that are furniture by their tag, role or class have no weight.
+weighted mean are content. Paths through elements that are furniture by their tag have no weight. Those marked by
+class, id, role or a hidden attribute have less, unless the marked element holds most of the page's unlinked text;
+paths outside of article and main have the less, the more of the unlinked text is inside.
 
 Defined results: null or empty html, or a page without content, gives the empty text; unclosed and stray tags
 are taken as browsers take them; blocks of the same text stay as often as they occur; repeated pages get
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
-NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTES = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
              "sup time tt u var wbr br img".split())
@@ -31,40 +33,53 @@ RAW = set("script style noscript template textarea title iframe svg math object
 #: Those that browsers read as mere text, to the end of the page where their end tag is missing.
 MERE_TEXT = set("script style noscript template textarea title iframe noframes xmp".split())
 HEAD = set("title meta link style script base noscript template head".split())
-FURNITURE = set("nav footer aside form button menu dialog fieldset figure-menu head select".split())
+FURNITURE = set("nav footer aside button menu head".split())
+#: Furniture, unless they hold the page.
+FRAMES = set("form fieldset dialog select datalist option".split())
 #: Parts of a class, id or role that mark furniture.
 MARKS = set("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu "
             "breadcrumb breadcrumbs sidebar side aside footer header masthead topbar toolbar cookie cookies consent notice notices gdpr alert popup modal "
             "overlay newsletter subscribe subscription signup login comment comments commentlist reply replies disqus discussion respond "
             "related recommended recommendations share sharing social pagination pager widget widgets search form complementary "
-            "contentinfo skip paywall copyright legal toc hidden".split())
+            "contentinfo skip paywall copyright legal toc".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("ul ol dl table body html article main section div td th aside nav footer header form".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？·¿¡«»“”\"']")
 SIGMA = 1.0
 SHARE = 0.12
+MARKED = 0.1
 
 
-def _marked(tag: str, attributes: str, within: bool) -> bool:
-    """Whether an element is furniture. A header inside the article is not."""
-    if tag in FURNITURE or (tag == "header" and not within):
+def _attributes(attributes: str) -> dict[str, str]:
+    """Attributes by name; of those named twice the first, as in browsers."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTES.findall(attributes):
+        out.setdefault(name.lower(), "".join(values).lower())
+    return out
+
+
+def _marked(tag: str, attributes: dict[str, str], within: bool) -> bool:
+    """Whether an element is marked as furniture. A header inside the article is not."""
+    if tag in ("html", "body"):
+        return False
+    if tag in FRAMES or (tag == "header" and not within) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    for name, *values in NAMES.findall(attributes) if attributes else ():
-        name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+    for name in ("class", "id", "role"):
+        value = attributes.get(name, "")
         parts = set(re.split(r"[^a-z0-9]+", value))
-        if parts & MARKS and not (within and parts & {"header"}):
+        if "hidden" in value.split() or (parts & MARKS and not (within and parts & {"header"})):
             return True
     return False
 
 
-def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
-    """(path, text, linked characters, furniture, inside article or main) of each block with text, in order."""
-    out: list[tuple[str, str, int, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, furniture, within
+def blocks(page: str) -> list[tuple[str, str, int, bool, tuple[int, ...], bool]]:
+    """(path, text, linked characters, furniture, marked elements around, inside article or main) of each block with
+    text, in order."""
+    out: list[tuple[str, str, int, bool, tuple[int, ...], bool]] = []
+    stack: list[tuple[str, str, bool, tuple[int, ...], bool]] = []  # tag, path, furniture, marks, within
+    marked = 0
     text: list[str] = []
-    linked, here, at = 0, ("", False, False), 0
+    linked, here, at = 0, ("", False, (), False), 0
     endless: set[str] = set()  # raw elements without an end tag further on
 
     def flush() -> None:
@@ -72,15 +87,13 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append((here[0], joined, min(linked, len(joined)), here[1], here[2]))
+                out.append((here[0], joined, min(linked, len(joined)), *here[1:]))
             text.clear()
         linked = 0
 
-    def place() -> tuple[str, bool, bool]:
-        for tag, path, furniture, within in reversed(stack):
-            if tag not in INLINE:
-                return path, furniture or any(s[2] for s in stack), within
-        return "", any(s[2] for s in stack), False
+    def place() -> tuple[str, bool, tuple[int, ...], bool]:
+        path, within = next(((s[1], s[4]) for s in reversed(stack) if s[0] not in INLINE), ("", False))
+        return (path, stack[-1][2], stack[-1][3], within) if stack else (path, False, (), within)
 
     def add(piece: str) -> None:
         nonlocal linked
@@ -92,7 +105,7 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
 
     def close(k: int) -> None:
         nonlocal here
-        if any(s[0] not in INLINE for s in stack[k:]):
+        if any(s[0] not in INLINE for s in stack[k:]) or (k and stack[-1][2:4] != stack[k - 1][2:4]):
             flush()
         del stack[k:]
         here = place()
@@ -137,16 +150,19 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
             flush()
         if tag in VOID or attributes.endswith("/"):
             continue
-        parent = stack[-1] if stack else ("", "", False, False)
-        within = parent[3] or tag in ("article", "main")
-        names = ".".join(v for name, *vs in NAMES.findall(attributes) if name.lower() == "class" for v in "".join(vs).lower().split()) if attributes else ""
+        parent = stack[-1] if stack else ("", "", False, (), False)
+        within = parent[4] or tag in ("article", "main")
+        given = _attributes(attributes) if attributes else {}
+        names = ".".join(given.get("class", "").split())
         path = parent[1] if tag in INLINE else f"{parent[1]}/{tag}{'.' + names if names else ''}"
-        stack.append((tag, path, _marked(tag, attributes, within), within))
-        if tag not in INLINE:
-            here = place()
-        elif stack[-1][2] and not here[1]:
+        marks = parent[3]
+        if _marked(tag, given, within):
+            marked += 1
+            marks = (*marks, marked)
+        if tag in INLINE and marks != parent[3]:
             flush()
-            here = place()
+        stack.append((tag, path, parent[2] or tag in FURNITURE, marks, within))
+        here = place()
     add(page[at:])
     flush()
     return out
@@ -157,28 +173,33 @@ def content(page: str | None) -> list[str]:
     found = blocks(page or "")
     if not found:
         return []
-    names, path = np.unique([b[0] for b in found], return_inverse=True)
     length = np.array([len(b[1]) for b in found], float)
     points = np.array([len(PUNCTUATION.findall(b[1])) for b in found], float)
     links = np.array([b[2] for b in found], float)
-    useful = np.array([not b[3] for b in found])
-    within = np.array([b[4] for b in found])
-    if (within & useful).any():  # the page says where its article is
-        useful &= within
-    if not useful.any():
+    plain = length - links
+    of: dict[int, float] = {}  # unlinked text of each marked element
+    for b, v in zip(found, plain):
+        for mark in b[4]:
+            of[mark] = of.get(mark, 0) + v
+    marked = np.array([any(of[mark] <= plain.sum() / 2 for mark in b[4]) for b in found])
+    within = np.array([b[5] for b in found])
+    weight = np.where([b[3] for b in found], 0, np.where(marked, MARKED, 1.0))
+    if (inside := plain @ (weight * within)) > 0:  # the page says where its article is, or some of it
+        weight = weight * np.where(within, 1, (1 - inside / (plain @ weight)) ** 2)
+    if not weight.any():
         return []
-    per = lambda v: np.bincount(path, v, len(names))
-    n, total = per(np.ones(len(found))), np.maximum(per(length), 1)
+    _, path = np.unique([f"{b[0]} {w}" for b, w in zip(found, weight)], return_inverse=True)
+    per = lambda v: np.bincount(path, v)
+    n, total = per(np.ones(len(found))), per(length)
     ratio = total / n * (1 + per(points) / n) * (1 - per(links) / total) ** 2
-    ratio = np.log1p(ratio)[path] * useful
+    ratio = np.log1p(ratio)[path] * weight
     reach = np.arange(-3, 4)
     kernel = np.exp(-0.5 * (reach / SIGMA) ** 2)
     smooth = np.convolve(ratio, kernel / kernel.sum(), "same") if len(ratio) >= len(kernel) else np.convolve(
         np.pad(ratio, len(kernel)), kernel / kernel.sum(), "same")[len(kernel) : -len(kernel)]
-    fused = per((ratio + smooth) / 2) / n  # of the path, with its surroundings
-    bar = SHARE * np.average(fused[path][useful], weights=length[useful])
-    chosen = useful & (fused[path] >= bar) & (links < 0.8 * length)
-    return [b[1] for b, c in zip(found, chosen) if c]
+    fused = (per(ratio + smooth * weight) / 2 / n)[path]  # of the path, with its surroundings
+    bar = SHARE * np.average(fused, weights=length * weight)
+    return [b[1] for b, f in zip(found, fused) if f > 0 and f >= bar]
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -247,6 +247,26 @@ def test_main_text_after_raw_elements():
     assert extract.content(f"{body}<script>if(a<b) {body}") == [body[3:-4]]
 
 
+@pytest.mark.parametrize("opened, closed", [
+    ("<body class='home no-sidebar'>", ""), ("<div class='content with-sidebar'>", "</div>"), ("<article class='post has-comments'>", "</article>"),
+    ("<div class='overflow-hidden'>", "</div>"), ("<div style='overflow:hidden'>", "</div>"), ("<form id=aspnetForm>", "</form>"), ("<div hidden>", "</div>")])
+def test_main_text_under_marks(opened, closed):
+    body = [f"Paragraph {i} of the page, with points, and more of it here." for i in range(5)]
+    page = opened + "".join(f"<p>{p}</p>" for p in body) + "<div class=comments><p>Reader: I like this.</p></div>" + closed + "<footer>(c) 2020, all.</footer>"
+    assert extract.content(page) == body
+
+
+def test_main_text_beside_teasers_and_links():
+    body = [f"Paragraph {i} of the page, with points, and more of it here." for i in range(5)]
+    teasers = "".join(f"<article><p>Teaser {i}, short.</p></article>" for i in range(2))
+    got = extract.content("<body><div id=content>" + "".join(f"<p>{p}</p>" for p in body) + f"</div>{teasers}")
+    assert [t for t in got if not t.startswith("Teaser")] == body
+    linked = ["<a href=x>A linked paragraph of the article, all of it.</a>", *body]
+    got = extract.content("<article><h2><a href=y>The title</a></h2>" + "".join(f"<p>{p}</p>" for p in linked) + "</article><nav><a href=z>Menu</a></nav><p>Imprint.</p>")
+    assert got == ["The title", "A linked paragraph of the article, all of it.", *body]
+    assert extract.content("<ul><li><a href=x>one</a><li><a href=y>two</a></ul>") == []
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
