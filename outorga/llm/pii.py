@@ -25,16 +25,28 @@ ROUNDS = 30
 _HE = "Mr|Herr|Monsieur|Señor|Sr|Sir|Don"
 _SHE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|Lady|Doña"
 _NAME = r"\p{Lu}[\p{L}'’-]++"
+_IP = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)"
+_SOCIAL = r"\d{3}-\d{2}-\d{4}(?![\w-])"
+_CARD = r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)"
+_LOCAL = r"\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])"
+#: Where a phone ends although digits follow: before another number or address, and after 15 digits.
+_D = r"\d[ .()-]{0,3}"
+_NEXT = rf"[ .-]{_CARD}|(?<={_D * 6}\d)[ -](?:{_IP}|{_SOCIAL}|{_LOCAL})"
+_LONG = rf"(?<!{_D * 15}\d)"
+#: Country calling codes; none is the start of another.
+_CODE = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 #: Type and pattern of entities. The first that matches at a place counts.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)",
+    "ip": rf"(?<![\w.]){_IP}",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)(?:ghp_|gho_|sk-|sk_live_|xox[bp]-)[A-Za-z0-9_-]{16,}+",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])",
-    "number": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<!\w)\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)",
+    "phone": rf"(?<![\w+])\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}(?!\w)|"
+             rf"(?<![\w+])\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:(?!{_NEXT})[ .-]?\d{{2,4}}){{1,4}}(?!\w){_LONG}|"
+             rf"(?<!\w)\(\d{{3}}\) ?\d{{3}}-\d{{4}}(?!\w)|(?<![\w-]){_LOCAL}",
+    "number": rf"(?<![\w-]){_SOCIAL}",
+    "card": rf"(?<!\w){_CARD}",
     "he": rf"(?<=(?<!\w)(?:{_HE})\.? ){_NAME}(?: {_NAME})?",
     "she": rf"(?<=(?<!\w)(?:{_SHE})\.? ){_NAME}(?: {_NAME})?",
 }
@@ -56,8 +68,11 @@ def _kind(mention: Column, before: Column) -> Column:
 def _canonical(kind: Column, mention: Column) -> Column:
     """The form that all spellings of an entity share."""
     digits = F.regexp_replace(mention, r"\D", "")
+    # a phone without country code and the zero that is only dialled at home; short ones as a whole
+    dialled = F.regexp_replace(F.regexp_replace(mention, r"\(0\)", ""), r"\D", "")
+    national = F.when(mention.startswith("+") & (F.length(dialled) >= 8), F.regexp_replace(dialled, rf"^(?:{_CODE})", "")).otherwise(digits)
     return (
-        F.when(kind == "ip", mention).when(kind == "phone", F.right(digits, F.lit(10)))
+        F.when(kind == "ip", mention).when(kind == "phone", national)
         .when(kind.isin("number", "card"), digits)
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
         .when(kind.isin("email", "secret"), F.lower(mention)).otherwise(mention))
@@ -161,7 +176,7 @@ def surrogate(key: str, kind: Column, canon: Column, draw: Column) -> Column:
 def rendered(kind: Column, mention: Column, instead: Column) -> Column:
     """A canonical surrogate in the spelling of the mention: its separators, country code and case."""
     digits = F.regexp_replace(mention, r"\D", "")
-    ahead = F.length(digits) - F.length(instead)  # of a phone number: the country code
+    ahead = F.length(digits) - F.length(instead)  # of a phone number: the country code and a zero in brackets
 
     def one(c: Column, i: Column) -> Column:
         k = F.length(F.regexp_replace(F.substring(mention, F.lit(1), i), r"\D", "")) - ahead

@@ -129,6 +129,20 @@ def test_surrogates(spark, docs, empty):
     assert sum(d if k % 2 == 0 else 2 * d - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0
 
 
+def test_surrogates_of_phones(spark):
+    texts = ["+1 (826) 555-4081 190.137.223.14", "+1 (826) 555-4081", "190.137.223.14", "+49 1512 3456789", "+4915123456789", "+49 30 1234567 4111 1111 1111 1111",
+             "+44 (0)20 7946 0958 192.168.10.20", "+44 20 7946 0958", "+49 30.12.34.56.78", "+351 912 345 678 123-45-6789", "+49 151 234 567 890 123 456"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = [[(f["kind"], f["canon"]) for f in r["found"]] for r in pii.replaced(rows).orderBy("_row.doc_id").collect()]
+    new = [r["text"] for r in pii.pseudonymised(rows).orderBy("doc_id").collect()]
+    assert new[0] == f"{new[1]} {new[2]}" and re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", new[1]) and "8265554081" not in re.sub(r"\D", "", new[0])
+    assert found[3] == found[4] == [("phone", "15123456789")] and new[3].startswith("+49 ") and new[3][4:8] != "1512" and new[3].replace(" ", "") == new[4]
+    assert found[5] == [("phone", "301234567"), ("card", "4111111111111111")]
+    assert found[6] == [("phone", "2079460958"), ("ip", "192.168.10.20")] and found[7] == found[6][:1] and new[6].startswith("+44 (0)")
+    assert found[8] == [("phone", "3012345678")] and found[9] == [("phone", "912345678"), ("number", "123-45-6789".replace("-", ""))]
+    assert found[10] == [("phone", "151234567890")]
+
+
 def test_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([("x", f"{i}") for i in range(20)] + [("y", "0")], "kind string, canon string")
     draws = lambda kind, canon, draw: F.pmod(F.xxhash64(kind, canon, draw), F.lit(60)).cast("string")
