@@ -10,7 +10,7 @@ from catalog.views_sql import quoted
 from outorga import contracts, fixed
 from outorga.fixed.rules import suffix_rules
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
-from outorga.operators.joins import bad_suffix_date
+from outorga.operators.joins import bad_suffix_date, keep_known
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
 from outorga.risk import features, model, text
 from outorga.schemas import CONTRACTS, MART_SCHEMAS
@@ -291,10 +291,16 @@ from m_convenios join m_proponentes using (IDENTIF_PROPONENTE) left join politic
 
 
 def _fitted(i: Inputs):
+    """The tables, the features of all grants, live ones included, and a model of the finished grants among them."""
     tables = mart(i)
-    frame = cut_lineage(features.feature_frame(features.finished(tables["convenios"]), tables, label=True))
+    frame = cut_lineage(features.feature_frame(tables["convenios"], tables, label=True))
     texts_ = text.TextClusterer(k=5, width=2**12)
-    return tables, frame, model.fit(frame.where(~_UNSEEN()), components=8, hash_width=64, texts=texts_)
+    return tables, frame, model.fit(_finished(tables, frame).where(~_UNSEEN()), components=8, hash_width=64, texts=texts_)
+
+
+def _finished(tables, frame):
+    """Features of the grants whose outcome is known."""
+    return keep_known(frame, "NR_CONVENIO", features.finished(tables["convenios"]))
 
 
 def _UNSEEN():
@@ -337,14 +343,14 @@ def _(i: Inputs):
 @query("m10_appended_predictions")
 def _(i: Inputs):
     _, frame, fitted = _fitted(i)
-    parts = fitted.predict(fitted.components(frame), proba=True, scale=True)
+    parts = fitted.components(fitted.predict(frame, proba=True, scale=True))
     return parts.select("NR_CONVENIO", "components", "INSUCESSO")
 
 
 @query("m11_validation_metrics")
 def _(i: Inputs):
-    _, frame, fitted = _fitted(i)
-    return model.validation_metrics(fitted, frame.where(_UNSEEN()))
+    tables, frame, fitted = _fitted(i)
+    return model.validation_metrics(fitted, _finished(tables, frame).where(_UNSEEN()))
 
 
 @query("m11_hyperparameters")

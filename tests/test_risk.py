@@ -111,3 +111,17 @@ def test_grants_with_gaps_are_scored_and_live_ones_not_learned(spark, frame, fit
     assert scored.columns == [*frame.columns, "INSUCESSO"] and scored.where("INSUCESSO is null or VL_REPASSE_CONV is not null").count() == 0
     grants = spark.createDataFrame([(1, features.fixed.LIVE_STATUS), (2, "INADIMPLENTE"), (3, None)], "k int, SIT_CONVENIO string")
     assert sorted(r["k"] for r in features.finished(grants).collect()) == [2, 3]
+
+
+def test_catalog_scores_live_grants_and_learns_from_finished_ones(spark, frame, fitted, monkeypatch):
+    from catalog import marts
+    from catalog.registry import QUERIES
+
+    key, learned = F.col("NR_CONVENIO"), []
+    grants = frame.select("NR_CONVENIO", F.when(key % 2 == 0, features.fixed.LIVE_STATUS).otherwise("INADIMPLENTE").alias("SIT_CONVENIO"))
+    monkeypatch.setattr(marts, "mart", lambda i: {"convenios": grants})
+    monkeypatch.setattr(features, "feature_frame", lambda some, tables, label=False: frame.join(some.select("NR_CONVENIO"), "NR_CONVENIO"))
+    monkeypatch.setattr(model, "fit", lambda f, **_: learned.append(f) or fitted)
+    for name in ("m7_components", "m8_classify", "m10_appended_predictions"):
+        assert QUERIES[name](spark, "/nowhere").count() == 400
+    assert 0 < learned[0].count() < 200 and learned[0].where(key % 2 == 0).count() == 0
