@@ -7,7 +7,7 @@ mean posterior, its score that mean.
 
 The field is fitted on at most SAMPLE labelled texts of each language (those of the smallest hashes of doc_id, a
 stretch of STRETCH characters out of each), spliced to sequences that change language; every text is labelled
-whole. With more than MOST_LANGUAGES the most frequent are learned.
+whole. Every language is learned.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; if nothing can be learned, all are;
 ties go to the first language by name; repeated documents get equal rows; an empty table gives an empty result.
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 SAMPLE = 500
 STRETCH = 600
-MOST_LANGUAGES = 100
 LENGTH, BATCH, STEPS, RATE = 48, 64, 400, 0.05
 CHARS = 8_000_000  # characters labelled at a time
 WORDS = 300_000  # words a worker remembers
@@ -173,7 +172,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Field | None:
     """Learn from the documents that are not held out and have a language and a text."""
     rows = documents.select(F.col("doc_id"), F.col("text"), F.col("lang").cast("string").alias("lang")).filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return None
     # about 1.5 times the sample of each language by hash, then no more than the sample

@@ -191,6 +191,12 @@ def test_language(spark, docs, empty):
     assert np.allclose(language.posteriors(np.r_[e, e[:1]], np.array([4, 1]), a)[0], mean)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "learned", lambda stretches: {lang for lang, _ in stretches})
+    rows = [(12 * n + i, "some words", f"l{n}") for n in range(130) for i in range(12)] + [(2000, "some words", None)]
+    assert language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")) == {f"l{n}" for n in range(130)}
+
+
 def shingles(text):
     w = [x for x in re.split("[\x20\x09-\x0d]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) if x]
     return {" ".join(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({" ".join(w)} if w else set())
