@@ -46,4 +46,14 @@ select doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first
 from d left join p using (r) left join v using (r)
 """
 
-SQL = {"op1_decontamination": _ONE, "op9_warc": _NINE, "op10_licences": _TEN}
+_TWELVE = """
+with d as (select row_number() over () r, doc_id, coalesce(doc_id, 9223372036854775807) o, string_split(coalesce(text, ''), chr(10)) w from documents),
+l as (select r, o, i, w[i] t, translate(trim(w[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k
+  from (select *, unnest(range(1, len(w) + 1)) i from d)),
+f as (select k, min(o) f from l where length(k) >= 10 group by k),
+g as (select r, i, t, length(k) >= 10 and o <> f gone from l left join f using (k)),
+s as (select r, count(*) n, count(*) filter (gone) x, coalesce(string_agg(t, chr(10) order by i) filter (not gone or gone is null), '') kept from g group by r)
+select doc_id, n::bigint n_lines, x::bigint n_dropped, sha256(kept) kept_sha256 from d join s using (r)
+"""
+
+SQL = {"op1_decontamination": _ONE, "op9_warc": _NINE, "op10_licences": _TEN, "op12_line_dedup": _TWELVE}
