@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outorga.llm import decontaminate, extract, jaccard, language, licences, lines, packing, pii, quality, spotsigs, warc
+from outorga.llm import (
+    collocations, decontaminate, divergence, extract, jaccard, language, licences, lines, packing, pii, quality, spotsigs, warc)
 from outorga.llm.common import importable
 from outorga.llm.oracles import SQL  # noqa: F401
 from outorga.session import tune
@@ -85,10 +86,20 @@ def op10_licences(table) -> DataFrame:
     return licences.scan(table("documents"))
 
 
+@query
+def op11_collocations(table) -> DataFrame:
+    return collocations.collocations(table("documents"))
+
+
 @query
 def op12_line_dedup(table) -> DataFrame:
     rows = lines.deduplicated(table("documents").select("doc_id", "text"))
     return rows.select(F.col("_row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op13_divergence(table) -> DataFrame:
+    return divergence.audit(table("documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
