@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,14 @@ from outorga import contracts, fixed
 from outorga.fixed.rules import suffix_rules
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
 from outorga.operators.joins import bad_suffix_date, keep_known
+from outorga.operators.tables import union_all
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
 from outorga.risk import features, model, text
-from outorga.schemas import CONTRACTS, MART_SCHEMAS
+from outorga.schemas import CONTRACTS, MART_SCHEMAS, REFERENCES
 from outorga.session import cut_lineage, spread
 from outorga.sinks import targets
 from outorga.sources.gates import freshness
+from outorga.sources.snapshots import Snapshots
 from pyspark.sql import types as T
 
 
@@ -353,6 +357,31 @@ def _(i: Inputs):
     return model.validation_metrics(fitted, _finished(tables, frame).where(_UNSEEN()))
 
 
+_POINTS = """
+points as (select l_discount s, count(*) filter (l_returnflag = 'R') pos, count(*) filter (l_returnflag <> 'R') neg from lineitem group by 1),
+above as (select *, coalesce(sum(pos) over w, 0) tp, coalesce(sum(neg) over w, 0) fp from points
+  window w as (order by s desc rows between unbounded preceding and 1 preceding)),
+curve as (select *, (tp + pos) / (tp + fp + pos + neg) now, case when tp + fp > 0 then tp / (tp + fp) else (tp + pos) / (tp + fp + pos + neg) end before from above)"""
+
+
+@query("m11_areas", f"""
+with {_POINTS.strip()} select 'areaUnderROC' metric, round(sum(neg * (tp + pos / 2)) / (sum(pos) * sum(neg)), 9) as value from curve
+union all select 'areaUnderPR', round(sum(pos * (now + before) / 2) / sum(pos), 9) from curve""")
+def _(i: Inputs):
+    scored = i.lineitem.select("l_discount", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return model.areas(scored, "l_discount", "label", slot=4).withColumn("value", F.round("value", 9))
+
+
+@query("m11_confusion", """
+with t as (select count(*) filter (l_discount > 0.05 and l_returnflag = 'R') tp, count(*) filter (l_discount > 0.05 and l_returnflag <> 'R') fp,
+  count(*) filter (l_discount <= 0.05 and l_returnflag = 'R') fn, count(*) n from lineitem)
+select 'accuracy' metric, round((n - fp - fn) / n, 9) as value from t union all select 'precision', round(tp / (tp + fp), 9) from t
+union all select 'recall', round(tp / (tp + fn), 9) from t union all select 'f1', round(2 * tp / (2 * tp + fp + fn), 9) from t""")
+def _(i: Inputs):
+    scored = i.lineitem.select("l_discount", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return model.confusion(scored, "l_discount", "label", 0.05).withColumn("value", F.round("value", 9))
+
+
 @query("m11_hyperparameters")
 def _(i: Inputs):
     _, _, fitted = _fitted(i)
@@ -404,6 +433,26 @@ def _(i: Inputs):
     return report.select("sink", "table_name", F.when(F.col("error").isNull(), "SIM").otherwise("NAO").alias("ok"))
 
 
+@query("o3_restartable_sinks", """
+with t as (select 'customer' table_name, count(*) n from customer union all select 'orders', count(*) from orders union all select 'supplier', count(*) from supplier)
+select 1 run, 'json' sink, table_name, 'WRITTEN' status, n "rows" from t union all select 1, 'parquet', 'customer', 'WRITTEN', n from t where table_name = 'customer'
+union all select 1, 'parquet', 'orders', 'FAILED', null union all select 2, 'json', table_name, 'HELD', n from t
+union all select 2, 'parquet', table_name, case when table_name = 'customer' then 'HELD' else 'WRITTEN' end, n from t""")
+def _(i: Inputs):
+    """Three tables to two sinks, twice; one sink fails at its second table the first time."""
+    store, folder, failures = Snapshots(i.spark, i.scratch()), i.scratch(), iter([True])
+    for name in ("customer", "orders", "supplier"):
+        store.write(i.table(name), "mart", name, dt.date(2001, 1, 1))
+
+    def parquet(table: str, df: DataFrame) -> None:
+        if table == "orders" and next(failures, False):
+            raise ConnectionError("target is down")
+        df.write.mode("overwrite").parquet(f"{folder}/parquet/{table}")
+
+    runs = [targets.export(store, {"json": targets.json_sink(f"{folder}/json"), "parquet": parquet}) for _ in range(2)]
+    return union_all([r.select(F.lit(n).alias("run"), "sink", "table_name", "status", "rows") for n, r in enumerate(runs, 1)])
+
+
 @query("o4_year_partitions", """
 select year(DATA_MOV) ANO_MOV, count(*) "rows" from x_leg_d group by 1""")
 def _(i: Inputs):
@@ -457,10 +506,43 @@ def _(i: Inputs):
     return contracts.missing_references(rows, "IDENTIF_PROPONENTE", i.raw("proponentes"), "IDENTIF_PROPONENTE")
 
 
-@query("v_mart_contracts", f"""
-select 'fornecedores' table_name, 'unique key' contract, 'FORNECEDOR_ID' column_name, count(*) - count(distinct FORNECEDOR_ID) violations from m_fornecedores
-union all {" union all ".join(f"select 'fornecedores', 'not null', '{c}', count(*) - count({c}) from m_fornecedores" for c in MART_SCHEMAS['fornecedores'].names)}
-union all {" union all ".join(f"select 'fornecedores', 'text length', '{c}', count(*) filter (length({c}) > {n}) from m_fornecedores" for c, n in CONTRACTS['fornecedores'].max_length)}""")
-def _(i: Inputs):
+def _contract_sql(table: str) -> str:
+    """One row for each rule of a table."""
+    contract, source = CONTRACTS[table], "x_snapshot" if table == "data_atual" else f"m_{table}"
+    rules = [("not null", c, f"count(*) - count({c})") for c in contract.not_null(table)]
+    rules += [("text length", c, f"count(*) filter (length({c}) > {n})") for c, n in contract.max_length]
+    structs = ", ".join(f"{{'contract': '{rule}', 'column_name': '{c}', 'violations': {count}}}" for rule, c, count in rules)
+    sql = f"select '{table}' table_name, unnest([{structs}], recursive := true) from {source}"
+    if contract.key:
+        keys = ", ".join(contract.key)
+        sql += f" union all select '{table}', 'unique key', '{keys}', count(*) from (select 1 from {source} group by {keys} having count(*) > 1)"
+    return sql
+
+
+_REFERENCE_SQL = " union all ".join(
+    f"select '{table}', 'reference to {target}', '{column}', count(*) from m_{table} where {column} is not null and {column} not in (select {key} from m_{target} where {key} is not null)"
+    for (table, column), (target, key) in REFERENCES)
+
+
+def whole_mart(i: Inputs) -> dict[str, DataFrame]:
+    """All twelve tables, each written down once."""
     stage = i.staged()
-    return contracts.check_mart({"fornecedores": supplier_dimension(i, stage, fact(i, stage))})
+    lines = cut_lineage(transfers(stage))
+    links = cut_lineage(grants.emendas_convenios(lines))
+    grants_ = cut_lineage(grants.convenios(stage, links))
+    paid = supplier_dimension(i, stage, grants_)
+    moved = cut_lineage(ledger.movimento(stage, grants_, paid))
+    changed, bought = cut_lineage(grants.emendas(lines)), cut_lineage(procurements.licitacoes(stage, grants_))
+    last = i.events.agg(F.max(F.col("ts").cast("date")).alias("d")).first()["d"]
+    return {
+        "estados": cut_lineage(geography.estados(stage)), "municipios": cut_lineage(geography.municipios(stage)),
+        "proponentes": cut_lineage(grants.proponentes(stage)), "emendas": changed, "emendas_convenios": links, "licitacoes": bought,
+        "calendario": cut_lineage(derived.calendario(moved, "DATA_MOV", F.lit(last))), "convenios": grants_, "fornecedores": paid,
+        "movimento": moved, "atributos": cut_lineage(derived.atributos(grants_, changed, bought)),
+        "data_atual": derived.data_atual(i.spark, last),
+    }
+
+
+@query("v_mart_contracts", " union all ".join([*map(_contract_sql, CONTRACTS), _REFERENCE_SQL]))
+def _(i: Inputs):
+    return contracts.check_mart(whole_mart(i))

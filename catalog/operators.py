@@ -14,6 +14,7 @@ from outorga.operators import joins, keys, ranking, tables
 from outorga.plans import derived, grants, suppliers
 from outorga.schemas import MART_SCHEMAS, STAGE_COLUMNS
 from outorga.sources import gates
+from outorga.sources.delimited import read_ranges, read_zipped
 from outorga.sources.landing import load_date, read_raw
 from outorga.sources.snapshots import Snapshots
 from outorga.sources.stage import clean_stage
@@ -25,7 +26,19 @@ from outorga.sources.stage import clean_stage
 def _(i: Inputs):
     folder = f"{i.scratch()}/pagamentos"
     i.raw("pagamentos").write.options(header=True, sep=";", quote='"', escape='"').csv(folder)
-    return read_raw(i.spark, folder, STAGE_COLUMNS["pagamentos"])
+    return read_ranges(i.spark, folder, STAGE_COLUMNS["pagamentos"])
+
+
+_BROKEN = "NOME_FORNECEDOR || chr(10) || chr(34) || coalesce(NR_MOV_FIN, '') || chr(34) || ';' || chr(13) || chr(10) || chr(10) || NOME_FORNECEDOR"
+
+
+@query("s1_quoted_ranges", f"select * replace ({_BROKEN} as NOME_FORNECEDOR) from v_pagamentos")
+def _(i: Inputs):
+    """One file whose quoted fields hold line breaks, quotes and separators, read in ranges of 64 KB."""
+    folder = f"{i.scratch()}/pagamentos"
+    rows = i.raw("pagamentos").withColumn("NOME_FORNECEDOR", F.expr(_BROKEN))
+    rows.coalesce(1).write.options(header=True, sep=";", quote='"', escape='"').csv(folder)
+    return read_ranges(i.spark, folder, STAGE_COLUMNS["pagamentos"], step=1 << 16)
 
 
 _INJECTED = [*fixed.NULL_TOKENS, "NULA", "Na"]
@@ -94,6 +107,44 @@ def _(i: Inputs):
     return read_raw(i.spark, folder, STAGE_COLUMNS["licitacoes"])
 
 
+def _zipped(rows, folder: str, archives: int, member: int) -> None:
+    """Write the rows as that many zip archives, one to a task, in delimited members of so many rows."""
+    names = rows.columns
+
+    def write(batches):
+        import csv
+        import io
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        system.create_dir(path, recursive=True)
+        n = 0
+        with system.open_output_stream(f"{path}/{TaskContext.get().partitionId()}.zip") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+            for batch in batches:
+                for at in range(0, batch.num_rows, member):
+                    out = io.StringIO()
+                    writer = csv.writer(out, delimiter=";", lineterminator="\n")
+                    writer.writerow(["ROW", *names])
+                    writer.writerows([k, *r.values()] for k, r in enumerate(batch.slice(at, member).to_pylist()))
+                    archive.writestr(f"part/{n}.csv", out.getvalue())
+                    n += 1
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["members"])
+
+    rows.repartition(archives).mapInArrow(write, "members long").agg(F.sum("members")).first()
+
+
+@query("s9_zip_scan", "select * from v_licitacoes")
+def _(i: Inputs):
+    """Two archives of several members."""
+    folder = f"{i.scratch()}/licitacoes"
+    _zipped(i.raw("licitacoes").select(*STAGE_COLUMNS["licitacoes"]), folder, 2, 300)
+    return read_zipped(i.spark, folder, STAGE_COLUMNS["licitacoes"])
+
+
 @query("s10_freshness_gate", """
 with d as (select (select max(cast(ts as date)) from events) s, (select max(cast(o_orderdate as date)) from orders) h)
 select s SOURCE_DATE, h HELD_DATE, case when h >= date '2001-09-01' then 'UP_TO_DATE' when h = s then 'UNCHANGED' else 'RUN' end STATUS from d""")
@@ -211,10 +262,10 @@ def _(i: Inputs):
 
 
 @query("p11_conditional_replace", """
-select s.NR_MOV_FIN, s.NR_CONVENIO, case when t.NR_MOV_FIN is not null then t.VL_PAGO_OBTV_CONV else s.VL_PAGO end VL_PAGO
-from v_pagamentos s left join (select * from v_obtv where NR_MOV_FIN is not null) t on s.NR_MOV_FIN = t.NR_MOV_FIN""")
+select s.NR_MOV_FIN, s.NR_CONVENIO, case when known then t.VL_PAGO_OBTV_CONV else s.VL_PAGO end VL_PAGO
+from v_pagamentos s left join (select *, true known from v_obtv) t on s.NR_MOV_FIN is not distinct from t.NR_MOV_FIN""")
 def _(i: Inputs):
-    transfers = i.raw("obtv").where("NR_MOV_FIN is not null").withColumn("known", F.lit(True))
+    transfers = i.raw("obtv").withColumn("known", F.lit(True))
     rows = i.raw("pagamentos").select("NR_MOV_FIN", "NR_CONVENIO", "VL_PAGO")
     return joins.override(rows, transfers, "NR_MOV_FIN", "known", {"VL_PAGO": "VL_PAGO_OBTV_CONV"})
 
@@ -359,10 +410,10 @@ def _(i: Inputs):
 select p.NR_MOV_FIN, p.NR_CONVENIO, coalesce(t.IDENTIF_FAVORECIDO_OBTV_CONV, p.IDENTIF_FORNECEDOR) IDENTIF_FORNECEDOR,
   case when t.IDENTIF_FAVORECIDO_OBTV_CONV is null then p.NOME_FORNECEDOR else t.NM_FAVORECIDO_OBTV_CONV end NOME_FORNECEDOR,
   case when t.IDENTIF_FAVORECIDO_OBTV_CONV is null then p.VL_PAGO else t.VL_PAGO_OBTV_CONV end VL_PAGO
-from v_pagamentos p left join (select * from v_obtv where NR_MOV_FIN is not null) t on p.NR_MOV_FIN = t.NR_MOV_FIN""")
+from v_pagamentos p left join v_obtv t on p.NR_MOV_FIN is not distinct from t.NR_MOV_FIN""")
 def _(i: Inputs):
     rows = i.raw("pagamentos").drop("DATA_PAG")
-    return joins.override(rows, i.raw("obtv").where("NR_MOV_FIN is not null"), "NR_MOV_FIN", "IDENTIF_FAVORECIDO_OBTV_CONV", {
+    return joins.override(rows, i.raw("obtv"), "NR_MOV_FIN", "IDENTIF_FAVORECIDO_OBTV_CONV", {
         "IDENTIF_FORNECEDOR": "IDENTIF_FAVORECIDO_OBTV_CONV", "NOME_FORNECEDOR": "NM_FAVORECIDO_OBTV_CONV",
         "VL_PAGO": "VL_PAGO_OBTV_CONV"})
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outorga.functions.labels import lookup
 from outorga.operators.joins import drop_known
 from outorga.operators.tables import union_all
-from outorga.schemas import CONTRACTS, REFERENCES
+from outorga.schemas import CONTRACTS, REFERENCES, Contract
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -42,30 +42,55 @@ def missing_references(df: DataFrame, column: str, target: DataFrame, target_col
     return drop_known(df.where(F.col(column).isNotNull()), column, target, target_column)
 
 
+def _one_pass(table: str, df: DataFrame, contract: Contract) -> DataFrame:
+    """All counts of one table from one scan: rows are folded by key, with what breaks a rule counted on the way."""
+    rules = [("not null", c, F.col(c).isNull()) for c in contract.not_null(table)]
+    rules += [("text length", c, F.length(c) > n) for c, n in contract.max_length]
+    counts = [F.count_if(broken).alias(f"_{n}") for n, (_, _, broken) in enumerate(rules)]
+    found = [(rule, column, F.col(f"_{n}")) for n, (rule, column, _) in enumerate(rules)]
+    if contract.key:
+        folded = df.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+        totals = folded.agg(F.count_if(F.col("_rows") > 1).alias("_key"), *[F.sum(f"_{n}").alias(f"_{n}") for n in range(len(rules))])
+        found.insert(0, ("unique key", ", ".join(contract.key), F.col("_key")))
+    else:
+        totals = df.agg(*counts)  # every table has a column that may not be null
+    rows = F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("contract"), F.lit(column).alias("column_name"),
+                 F.coalesce(n.cast("long"), F.lit(0).cast("long")).alias("violations")) for rule, column, n in found])
+    return totals.select(F.inline(rows))
+
+
+def _references(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows without a counterpart, for all references at once: the values of each table come from one scan, folded
+    before the shuffle, and one anti-join tells which of them the targets lack."""
+    here = [(n, *r) for n, r in enumerate(REFERENCES) if r[0][0] in tables and r[1][0] in tables]
+
+    def values(table: str, wanted: list[tuple[str, Column]]) -> DataFrame:
+        each = F.array(*[F.struct(tag.alias("ref"), F.col(column).cast("string").alias("value")) for column, tag in wanted])
+        return tables[table].select(F.explode(each).alias("v")).select("v.*").where("value is not null")
+
+    def by_table(sides: list[tuple[int, str, str]]) -> dict[str, list[tuple[str, Column]]]:
+        out: dict[str, list[tuple[str, Column]]] = {}
+        for n, table, column in sides:
+            out.setdefault(table, []).append((column, F.lit(n)))
+        return out
+
+    users = by_table([(n, *user) for n, user, _ in here])
+    targets = by_table([(n, *target) for n, _, target in here])
+    used = union_all([values(t, w) for t, w in users.items()]).groupBy("ref", "value").agg(F.count(F.lit(1)).alias("rows"))
+    known = union_all([values(t, w) for t, w in targets.items()])
+    lost = used.join(known, ["ref", "value"], "left_anti").groupBy("ref").agg(F.sum("rows").alias("violations"))
+    some = next(iter(tables.values())).sparkSession
+    names = some.createDataFrame(
+        [(n, user[0], f"reference to {target[0]}", user[1]) for n, user, target in here],
+        "ref int, table_name string, contract string, column_name string")
+    return names.join(lost, "ref", "left").selectExpr(
+        "table_name", "contract", "column_name", "coalesce(violations, 0L) violations")
+
+
 def check_mart(tables: dict[str, DataFrame]) -> DataFrame:
     """Every contract of every given table: (table_name, contract, column_name, violations)."""
-    found = []
-
-    def add(table: str, contract: str, rows: DataFrame) -> None:
-        found.append(rows.select(
-            F.lit(table).alias("table_name"), F.lit(contract).alias("contract"), "column_name",
-            F.col("violations").cast("long").alias("violations")))
-
-    for table, df in tables.items():
-        contract = CONTRACTS.get(table)
-        if contract is None:
-            continue
-        if contract.key:
-            add(table, "unique key", duplicate_keys(df, list(contract.key)).agg(
-                F.lit(", ".join(contract.key)).alias("column_name"), F.count(F.lit(1)).alias("violations")))
-        add(table, "not null", null_counts(df, contract.not_null(table)).withColumnRenamed("nulls", "violations"))
-        if contract.max_length:
-            limits = dict(contract.max_length)
-            too_long = {c: F.count_if(F.length(c) > n) for c, n in limits.items()}
-            add(table, "text length", _per_column(df, too_long, "violations"))
-    for (table, column), (target, target_column) in REFERENCES:
-        if table in tables and target in tables:
-            lost = missing_references(tables[table], column, tables[target], target_column)
-            add(table, f"reference to {target}", lost.agg(
-                F.lit(column).alias("column_name"), F.count(F.lit(1)).alias("violations")))
+    found = [_one_pass(table, df, CONTRACTS[table]) for table, df in tables.items() if table in CONTRACTS]
+    if any(user[0] in tables and target[0] in tables for user, target in REFERENCES):
+        found.append(_references(tables))
     return union_all(found)

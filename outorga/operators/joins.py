@@ -44,13 +44,44 @@ def null_safe_join(left: DataFrame, right: DataFrame, key: str, how: str) -> Dat
     return joined if how in ("left_semi", "left_anti") else joined.drop("_key")
 
 
-def override(left: DataFrame, right: DataFrame, key: str, when: str, pairs: dict[str, str]) -> DataFrame:
-    """Left join on ``key``; where ``when`` came along, the right columns replace the left ones.
-    Several right rows per key give several result rows."""
-    joined = null_safe_join(left, right.select(key, *dict.fromkeys([when, *pairs.values()])), key, "left")
-    matched = F.col(when).isNotNull()
-    return joined.select(*[
-        F.when(matched, F.col(pairs[c])).otherwise(F.col(c)).alias(c) if c in pairs else F.col(c)
+#: Rows of one key that one side brings to a cell of an override.
+RUN = 1_000
+
+
+def override(left: DataFrame, right: DataFrame, key: str, when: str, pairs: dict[str, str], run: int = RUN) -> DataFrame:
+    """Left join on ``key``, null matching null; where ``when`` came along, the right columns replace the left ones.
+    Several right rows per key give several result rows.
+
+    Equal right rows travel once, with their count, and become rows again in the result. A key with more than ``run``
+    rows on a side is cut into cells: its left rows are dealt to as many hands as it has runs, its right rows likewise,
+    and each hand of one side meets each of the other in a cell of its own. So a key that holds many rows, a null one
+    included, is the work of many tasks, and no task has more than a run of each side.
+    """
+    carried = dict.fromkeys([when, *pairs.values()])
+    names = {c: f"_right{n}" for n, c in enumerate(carried)}
+    right = right.select(F.col(key).alias("_key"), *[F.col(c).alias(n) for c, n in names.items()])
+    runs = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    many = left.groupBy(F.col(key).alias("_hot")).agg(F.ceil(F.count(F.lit(1)) / run).alias("_hands"))
+    found = runs.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / run).alias("_others"))
+    hot = many.join(found, F.col("_hot").eqNullSafe(F.col("_key"))).where("_hands > 1 or _others > 1").select("_hot", "_hands", "_others")
+
+    def hand(of: str, *columns: Column | str) -> Column:
+        return F.coalesce(F.pmod(F.xxhash64(*columns), F.col(of)), F.lit(0).cast("long"))
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(of, F.lit(1)) - 1))
+
+    # Equal left rows would share a hand, but for the task they come from.
+    dealt = left.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
+        "_a", hand("_hands", *left.columns, F.spark_partition_id())).withColumn("_b", every("_others"))
+    spread = runs.join(hot.withColumnRenamed("_hot", "_hot2"), F.col("_key").eqNullSafe(F.col("_hot2")), "left").select(
+        *runs.columns, hand("_others", *runs.columns).alias("_b2"), every("_hands").alias("_a2"))
+    cell = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
+    # A hot key has a match in some cell; the cells of it without one say nothing.
+    joined = dealt.join(spread, cell, "left").where("_copies is not null or _hands is null")
+    matched = F.col(names[when]).isNotNull()
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1))))).select(*[
+        F.when(matched, F.col(names[pairs[c]])).otherwise(F.col(c)).alias(c) if c in pairs else F.col(c)
         for c in left.columns])
 
 

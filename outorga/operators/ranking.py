@@ -1,4 +1,4 @@
-"""Ranks and top-1 per group that never hold one whole group in one task."""
+"""Sums over higher values, ranks and top-1 per group that never hold one whole group in one task."""
 
 from __future__ import annotations
 
@@ -6,33 +6,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from outorga.session import cut_lineage
 
-def rank_in_group(df: DataFrame, group: str, value: str, name: str = "rank", slots: int = 64) -> DataFrame:
-    """Descending rank within the group, ties sharing the smallest; null values stay unranked.
-
-    The rank of a value is one plus the rows of its group above it. Ties fold into a count before
-    any shuffle, and a group is cut into value slots whose edges are quantiles of all values, so a
-    slot holds about 1/``slots`` of all distinct (group, value) pairs even if one group holds most
-    rows. Only slot totals (at most ``slots`` + 1 per group) meet in one window partition.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    points = [i / slots for i in range(1, slots)]
-    edges = df.agg(F.percentile_approx(value, points, 10_000).alias("e")).first()["e"] or []
-    edges = sorted(set(edges))
-    bounds = F.array(*[F.lit(e) for e in edges]) if edges else F.array().cast("array<double>")
-    slotted = counts.withColumn("_slot", F.size(F.filter(bounds, lambda e: e < F.col(value))))
-
-    def before(*order):
-        return W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-
-    above = (
-        slotted.groupBy(group, "_slot").agg(F.sum("_n").alias("_slot_n"))
-        .select(group, "_slot", F.coalesce(
-            F.sum("_slot_n").over(before(F.desc("_slot")).partitionBy(group)), F.lit(0)).alias("_above")))
-    inside = F.coalesce(F.sum("_n").over(before(F.desc(value)).partitionBy(group, "_slot")), F.lit(0))
-    ranks = (
-        slotted.withColumn("_inside", inside).join(above, [group, "_slot"])
-        .select(group, value, (1 + F.col("_inside") + F.col("_above")).cast("long").alias(name)))
+#: Different (group, value) pairs of one slot.
+SLOT = 100_000
+
+
+def sums_above(pairs: DataFrame, group: list[str], value: str, measures: list[str], slot: int = SLOT) -> DataFrame:
+    """For rows with one (group, value) each: ``<measure>_above``, the sums over the higher values of the group.
+
+    The pairs are cut by range, in order of group and falling value, into as many slots as there are times ``slot``
+    pairs, so a slot is as big whether the pairs belong to one group or to many, and the slots grow with the data.
+    Slots are written down, as a range exchange draws a sample that a second run would not repeat. What lies
+    above a row is the rest of its slot and the totals of the slots before, of which there is one for each group
+    and slot. ``group`` may be empty: then all rows are one group."""
+    pairs = cut_lineage(pairs)
+    slots = -(-pairs.count() // slot)
+    placed = pairs.withColumn("_slot", F.lit(0))
+    if slots > 1:
+        ranges = pairs.repartitionByRange(slots, *group, F.desc(value))
+        placed = cut_lineage(ranges.withColumn("_slot", F.spark_partition_id()))
+    inside = W.partitionBy(*group, "_slot").orderBy(F.desc(value)).rowsBetween(W.unboundedPreceding, -1)
+    rows = placed.withColumns({f"_{m}_in": F.sum(m).over(inside) for m in measures})
+    if slots > 1:
+        before = W.partitionBy(*group).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+        totals = placed.groupBy(*group, "_slot").agg(*[F.sum(m).alias(m) for m in measures])
+        totals = totals.select(*group, "_slot", *[F.sum(m).over(before).alias(f"_{m}_before") for m in measures])
+        rows = rows.join(totals, [*group, "_slot"])
+    else:
+        rows = rows.withColumns({f"_{m}_before": F.lit(0).cast("long") for m in measures})
+
+    def above(m: str):
+        zero = F.lit(0).cast("long")
+        return (F.coalesce(f"_{m}_in", zero) + F.coalesce(f"_{m}_before", zero)).alias(f"{m}_above")
+
+    return rows.select(*pairs.columns, *[above(m) for m in measures])
+
+
+def rank_in_group(df: DataFrame, group: str, value: str, name: str = "rank", slot: int = SLOT) -> DataFrame:
+    """Descending rank within the group, ties sharing the smallest; null values and rows of no group stay unranked.
+
+    The rank of a value is one plus the rows of its group above it. Ties fold into a count before any shuffle."""
+    ranked = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    counts = ranked.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranks = sums_above(counts, [group], value, ["_n"], slot)
+    ranks = ranks.select(group, value, (F.col("_n_above") + 1).cast("long").alias(name))
     return df.join(ranks, [group, value], "left").select(*df.columns, name)
 
 

@@ -13,6 +13,11 @@ from outorga.operators.tables import group_sum
 from outorga.schemas import MART_SCHEMAS
 
 
+def shared_grants(stage: dict[str, DataFrame]) -> DataFrame:
+    """Granted proposals with the columns that the fact and the amendments need, for a run to write down once."""
+    return granted_proposals(stage, list(dict.fromkeys(["ID_PROPOSTA", *FACT_COLUMNS])))
+
+
 def proponentes(stage: dict[str, DataFrame]) -> DataFrame:
     """Proponents that hold a grant, with the municipality of each proposal. Only whether a
     proposal has a grant matters, so grants come in as a semi-join."""
@@ -29,13 +34,14 @@ def granted_proposals(stage: dict[str, DataFrame], columns: list[str]) -> DataFr
     return stage["convenios"].join(proposals, "ID_PROPOSTA").select(*columns).distinct()
 
 
-def amendment_transfers(stage: dict[str, DataFrame]) -> DataFrame:
+def amendment_transfers(stage: dict[str, DataFrame], granted: DataFrame | None = None) -> DataFrame:
     """One row per amendment line and grant; amounts stay text because lines are told apart by
-    their text."""
+    their text. ``granted`` are granted proposals that are written down already."""
     lines = stage["emendas"].where(F.col("NR_EMENDA").isNotNull())
     years = stage["propostas"].select("ID_PROPOSTA", "ANO_PROP").distinct()
     lines = lines.join(years, "ID_PROPOSTA").distinct()
-    grants = granted_proposals(stage, ["ID_PROPOSTA", "NR_CONVENIO"])
+    wanted = ["ID_PROPOSTA", "NR_CONVENIO"]
+    grants = granted_proposals(stage, wanted) if granted is None else granted.select(*wanted).distinct()
     return lines.join(grants, "ID_PROPOSTA").select(
         year_and_number(F.col("ANO_PROP"), F.col("NR_EMENDA")).alias("NR_EMENDA"), "NR_CONVENIO",
         "NOME_PARLAMENTAR", "TIPO_PARLAMENTAR", "VALOR_REPASSE_EMENDA")
@@ -61,9 +67,9 @@ FACT_COLUMNS = [c for c in MART_SCHEMAS["convenios"].names
                 if c not in ("COM_EMENDAS", "VALOR_EMENDA_CONVENIO", "INSUCESSO")]
 
 
-def convenios(stage: dict[str, DataFrame], bridge: DataFrame) -> DataFrame:
+def convenios(stage: dict[str, DataFrame], bridge: DataFrame, granted: DataFrame | None = None) -> DataFrame:
     """Every grant with its amendment total and flag: both from one grouped side, in one join."""
-    grants = granted_proposals(stage, FACT_COLUMNS)
+    grants = granted_proposals(stage, FACT_COLUMNS) if granted is None else granted.select(*FACT_COLUMNS).distinct()
     grants = grants.withColumn("NR_CONVENIO", F.col("NR_CONVENIO").try_cast("long"))
     totals = group_sum(bridge, ["NR_CONVENIO"], "VALOR_REPASSE_EMENDA", "VALOR_EMENDA_CONVENIO")
     zero = F.lit(0).cast("decimal(18,2)")

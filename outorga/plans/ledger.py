@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +68,13 @@ def tax_leg(taxes: DataFrame, payments: DataFrame, grants: DataFrame) -> DataFra
     return _leg(rows, "T", day, decimal_comma(F.col("VL_PAG_TRIBUTOS")))
 
 
-def movements(stage: dict[str, DataFrame], grants: DataFrame, suppliers: DataFrame) -> DataFrame:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def movements(stage: dict[str, DataFrame], grants: DataFrame, suppliers: DataFrame, keep: Keep = cut_lineage) -> DataFrame:
     """All legs, without ids. The payment leg is used twice, for itself and for the tax dates, and
-    it is the widest join of the mart: it is cut off and reused."""
-    payments = cut_lineage(payment_leg(stage["pagamentos"], suppliers))
+    it is the widest join of the mart: ``keep`` writes it down and reads it back."""
+    payments = keep(payment_leg(stage["pagamentos"], suppliers))
     return union_all([
         milestone_legs(grants),
         deposit_leg(stage["desembolsos"], "D", "DATA_DESEMBOLSO", "VL_DESEMBOLSADO", grants),
@@ -79,6 +84,6 @@ def movements(stage: dict[str, DataFrame], grants: DataFrame, suppliers: DataFra
     ])
 
 
-def movimento(stage: dict[str, DataFrame], grants: DataFrame, suppliers: DataFrame) -> DataFrame:
+def movimento(stage: dict[str, DataFrame], grants: DataFrame, suppliers: DataFrame, keep: Keep = cut_lineage) -> DataFrame:
     keys = ["DATA_MOV", "TIPO_MOV", "NR_CONVENIO", "FORNECEDOR_ID", "VALOR_MOV"]
-    return conform(dense_ids(movements(stage, grants, suppliers), "MOV_ID", keys), MART_SCHEMAS["movimento"])
+    return conform(dense_ids(movements(stage, grants, suppliers, keep), "MOV_ID", keys), MART_SCHEMAS["movimento"])

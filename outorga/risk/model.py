@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     PCA, CountVectorizerModel, FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
@@ -16,9 +15,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outorga.operators.ranking import SLOT, sums_above
 from outorga.risk.features import CODES, NUMBERS, TEXTS, feature_frame, filled, live
 from outorga.risk.text import TextClusterer, TextClusters
-from outorga.session import new_folder
+from outorga.session import cut_lineage, new_folder
 
 CLUSTER = "OBJETO_GRUPO"
 #: Categories whose values the register fixes, and the text groups; all others are open and are hashed.
@@ -116,26 +116,49 @@ def fit(
     return model
 
 
+def areas(scored: DataFrame, score: str, label: str, slot: int = SLOT) -> DataFrame:
+    """(metric, value): areas under the receiver operating and precision-recall curves, from rank sums.
+
+    Rows of one score are one point of both curves. What lies above a point are sums over higher scores, so the points
+    need no order and no task holds them all; each adds its trapezoid. The precision before the first point is
+    that of the first point. Without rows of one of the classes an area is null. Null scores and labels don't count."""
+    hit = F.col(label).cast("double") == 1
+    points = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("_score")).agg(
+        F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    points = sums_above(points, [], "_score", ["pos", "neg"], slot)
+    pos, neg, pos_above, neg_above = (F.col(c) for c in ("pos", "neg", "pos_above", "neg_above"))
+    precision = (pos_above + pos) / (pos_above + neg_above + pos + neg)
+    before = F.when(pos_above + neg_above > 0, pos_above / (pos_above + neg_above)).otherwise(precision)
+    sums = points.agg(
+        F.sum(neg.cast("double") * (pos_above + pos / 2)).alias("roc"), F.sum(pos * (precision + before) / 2).alias("pr"),
+        F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n"))
+    both = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("roc") / (F.col("p") * F.col("n")))
+    return sums.select(
+        both.alias("areaUnderROC"), F.when(F.col("p") > 0, F.col("pr") / F.col("p")).alias("areaUnderPR")).unpivot(
+        [], ["areaUnderROC", "areaUnderPR"], "metric", "value")
+
+
+def confusion(scored: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
+    """(metric, value): accuracy, precision, recall and their harmonic mean where scores above the threshold say yes;
+    a ratio without anything to divide by is 0."""
+    says, is_so = F.col(score) > threshold, F.col(label).cast("double") == 1
+    table = scored.agg(
+        F.count_if(says & is_so).alias("tp"), F.count_if(says & ~is_so).alias("fp"),
+        F.count_if(~says & is_so).alias("fn"), F.count(F.lit(1)).alias("n"))
+
+    def ratio(a: Column, b: Column) -> Column:
+        return F.when(b > 0, a / b).otherwise(0.0)
+
+    tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n"))
+    return table.select(
+        ratio(n - fp - fn, n).alias("accuracy"), ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
+        ratio(2 * tp, 2 * tp + fp + fn).alias("f1")).unpivot([], ["accuracy", "precision", "recall", "f1"], "metric", "value")
+
+
 def validation_metrics(model: RiskModel, frame: DataFrame, label: str = "LABEL") -> DataFrame:
     """(metric, value): areas under the curves and the confusion-table ratios."""
-    scored = model.predict(frame, proba=True, name="score").withColumn(label, F.col(label).cast("double"))
-    scored = scored.select(label, "score").persist()
-    rows = [
-        (name, float(BinaryClassificationEvaluator(
-            rawPredictionCol="score", labelCol=label, metricName=name, numBins=0).evaluate(scored)))
-        for name in ("areaUnderROC", "areaUnderPR")]
-    hit, actual = F.col("score") > 0.5, F.col(label) == 1
-    table = scored.agg(
-        F.count_if(hit & actual).alias("tp"), F.count_if(hit & ~actual).alias("fp"),
-        F.count_if(~hit & actual).alias("fn"), F.count(F.lit(1)).alias("n")).first()
-    scored.unpersist()
-    precision = table["tp"] / max(table["tp"] + table["fp"], 1)
-    recall = table["tp"] / max(table["tp"] + table["fn"], 1)
-    rows += [
-        ("accuracy", (table["n"] - table["fp"] - table["fn"]) / max(table["n"], 1)),
-        ("precision", precision), ("recall", recall),
-        ("f1", 2 * precision * recall / max(precision + recall, 1e-12))]
-    return frame.sparkSession.createDataFrame(rows, "metric string, value double")
+    scored = cut_lineage(model.predict(frame, proba=True, name="score").select(label, "score"))
+    return areas(scored, "score", label).unionByName(confusion(scored, "score", label))
 
 
 def score_live(grants: DataFrame, mart: dict[str, DataFrame], model: RiskModel) -> DataFrame:

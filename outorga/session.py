@@ -33,15 +33,19 @@ def session(app: str = "outorga", master: str | None = None, **conf: str) -> Spa
     return tune(builder.getOrCreate())
 
 
-#: Shared folder of sessions that name none: entry points and tests set it, the library never guesses.
-DEFAULT_SHARED = os.environ.get("OUTORGA_SHARED", "/tmp/checkpoints/outorga")
+#: Shared folder of local sessions that name none.
+LOCAL_SHARED = "/tmp/checkpoints/outorga"
 
 
 def ensure_shared(spark: SparkSession) -> SparkSession:
-    """Name a shared folder where the session has none. For entry points; a cluster names its own in
-    ``spark.checkpoint.dir``, or the operator of the job in the OUTORGA_SHARED variable."""
+    """Name a shared folder where the session has none. For entry points: a cluster names its own in
+    ``spark.checkpoint.dir``, or whoever runs the job in the OUTORGA_SHARED variable. Only a local session, whose
+    executors are this process, gets a folder of this machine; any other one without a name is refused."""
     if not _shared(spark):
-        spark.sparkContext.setCheckpointDir(DEFAULT_SHARED)
+        named = os.environ.get("OUTORGA_SHARED")
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir (or OUTORGA_SHARED) to a folder every executor can reach")
+        spark.sparkContext.setCheckpointDir(named or LOCAL_SHARED)
     return spark
 
 
@@ -57,6 +61,16 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/outorga-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it. (A cluster whose machines don't
+    share that folder gets the package by ``--py-files`` or an installation.)"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there. As Parquet, so that those who read
     on take only the columns they need and the planner knows the size."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from outorga.functions.text import null_tokens
 from outorga.functions.values import day_first_date
@@ -16,8 +15,8 @@ def read_raw(
 ) -> DataFrame:
     """Named columns of plain or gzip CSV files, null tokens made null.
 
-    ``multi_line`` allows line breaks in quoted fields but reads each file in one task: land big
-    extracts as many files, or pass False where fields hold no line breaks to let Spark split them.
+    ``multi_line`` allows line breaks in quoted fields but reads each file in one task, which a compressed file
+    calls for anyway; ``delimited.read_ranges`` splits plain files with such fields.
     """
     reader = spark.read.options(
         header=True, sep=sep, quote='"', escape='"', encoding=encoding, multiLine=multi_line,
@@ -25,54 +24,6 @@ def read_raw(
     return null_tokens(reader.csv(path).select(*columns))
 
 
-def read_zipped(
-    spark: SparkSession, path: str, columns: list[str], sep: str = ";", encoding: str = "utf-8",
-    batch_rows: int = 20_000,
-) -> DataFrame:
-    """Named columns of the CSV members of zip archives.
-
-    Zip has no splittable reader, so one archive is one task's work. The task streams the members
-    and hands out record batches; it never holds a whole member. Archives over 2 GB exceed Spark's
-    binary column: land those unzipped and use ``read_raw``.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-    def records(batches):
-        import csv
-        import io
-        import zipfile
-
-        import pyarrow as pa
-
-        csv.field_size_limit(2**31 - 1)
-        arrow = pa.schema([(c, pa.string()) for c in columns])
-        for batch in batches:
-            for content in batch.column("content"):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                    for member in archive.namelist():
-                        if member.endswith("/"):
-                            continue
-                        with archive.open(member) as stream:
-                            rows = csv.reader(io.TextIOWrapper(stream, encoding, newline=""), delimiter=sep)
-                            header = [name.lstrip("﻿") for name in next(rows, [])]
-                            places = [header.index(c) for c in columns] if header else []
-                            out: list[list] = []
-                            for row in rows:
-                                if not row:
-                                    continue
-                                out.append([row[p] if p < len(row) else None for p in places])
-                                if len(out) == batch_rows:
-                                    yield pa.record_batch([list(c) for c in zip(*out)], schema=arrow)
-                                    out = []
-                            if out:
-                                yield pa.record_batch([list(c) for c in zip(*out)], schema=arrow)
-
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    # One archive per task: archives are few and large.
-    archives = archives.repartition(F.col("path")).select("content")
-    return null_tokens(archives.mapInArrow(records, schema))
-
-
 def load_date(df: DataFrame, column: str) -> DataFrame:
     """One row DATA_ATUAL: the day-first date in the first row of the load-date extract."""
     return df.limit(1).select(day_first_date(F.trim(column)).alias("DATA_ATUAL"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from conftest import ordered, rows
 from outorga import fixed
 from outorga.fixed.rules import suffix_rules
 from outorga.functions.stems import stems, tokens
@@ -65,7 +65,15 @@ def test_rank_in_hot_group(hot):
     want = sorted(
         ((g, v, None if v is None else 1 + sum(1 for o in by_group[g] if o is not None and o > v)) for g, v in data),
         key=lambda t: tuple((x is None, str(x)) for x in t))
-    assert rows(rank_in_group(df, "g", "v", slots=8)) == want
+    for slot in (100_000, 300, 7):
+        assert rows(rank_in_group(df, "g", "v", slot=slot)) == want
+
+
+def test_rank_in_one_group_of_all_values(spark):
+    df = spark.range(5000).select(F.lit("one").alias("g"), (F.col("id") * 7919 % 5000).alias("v"))
+    assert rank_in_group(df, "g", "v", slot=100).where("rank <> 5000 - v").count() == 0
+    none = spark.createDataFrame([(None, 1), (None, 2), ("a", 2), ("a", 3)], "g string, v int")
+    assert rows(rank_in_group(none, "g", "v", slot=1)) == [("a", 2, 2), ("a", 3, 1), (None, 1, None), (None, 2, None)]
 
 
 def test_rank_of_nulls_only(spark):
@@ -110,6 +118,21 @@ def test_null_keys(spark):
     assert rows(override(left, right, "k", "y", {"x": "y"}), "x") == [("c",), ("n",), ("o",), ("p",)]
 
 
+@pytest.mark.parametrize("run", [1_000, 3, 1])
+def test_override_of_hot_keys(spark, run):
+    rng = random.Random(4)
+    left = [(rng.choice([None, None, "hot", "a", "b", "c"]), n % 40, rng.choice(["x", None])) for n in range(300)]
+    right = [(rng.choice([None, "hot", "hot", "a", "d"]), rng.choice([None, 1, 2]), "y" if n % 2 else None) for n in range(60)]
+    want = []
+    for k, n, x in left:
+        met = [(w, y) for key, w, y in right if key == k] or [(None, None)]
+        want += [(k, n, y if w is not None else x) for w, y in met]
+    got = override(
+        spark.createDataFrame(left, "k string, n int, x string").repartition(3), spark.createDataFrame(right, "k string, w int, y string"),
+        "k", "w", {"x": "y"}, run=run)
+    assert got.columns == ["k", "n", "x"] and rows(got) == ordered(want)
+
+
 def test_tables(spark):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([(2, 5.0)], "id int, size double")

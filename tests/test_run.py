@@ -19,6 +19,7 @@ from outorga.schemas import COMMA_SEPARATED, LOAD_ORDER, MART_SCHEMAS, STAGE_COL
 from outorga.sinks.targets import json_sink, ledger_sink, run_sinks
 from outorga.sources.landing import load_date, read_raw
 from outorga.sources.snapshots import Snapshots
+from pyspark.sql import functions as F
 
 DAY = dt.date(2022, 3, 5)
 GIVEN_DAY = "05/03/2022"
@@ -226,6 +227,51 @@ def test_rerun_gates(spark, store, landing):
     assert store.manifest().where("zone = 'stage'").count() == before
 
 
+def test_a_build_that_fails_midway_leaves_the_mart_whole(spark, store, landing, monkeypatch):
+    _, paths = landing
+    day = spark.createDataFrame([(DAY,)], "DATA_ATUAL date")
+    before = store.paths("mart")
+    with monkeypatch.context() as m:
+        m.setattr(mart.derived, "atributos", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            mart.run(spark, store.root, paths, day, today=DAY, force_build=True)
+    assert store.paths("mart") == before
+    report = mart.run(spark, store.root, paths, day, today=DAY, force_build=True).collect()
+    assert not set(store.paths("mart").values()) & set(before.values())
+    latest = store.current("mart").agg(F.count_distinct("written_at"), F.count("*")).first()
+    assert tuple(latest) == (1, 12)  # all became current in one line file
+    assert {r["table_name"]: r["rows"] for r in report if r["step"] == "contracts"}["licitacoes"] == 1
+    assert store.read("checks", "contracts").where("contract = 'unique key' and violations > 0").count() == 2
+
+
+def test_sinks_take_up_where_they_failed(spark, store, landing, tmp_path):
+    _, paths = landing
+    day, failures, written = spark.createDataFrame([(DAY,)], "DATA_ATUAL date"), iter([True]), []
+
+    def shaky(table, df):
+        if table == "calendario" and next(failures, False):
+            raise ConnectionError("target is down")
+        written.append((table, df.count()))
+
+    sinks = {"shaky": shaky, "json": json_sink(str(tmp_path / "json"))}
+    counts = {t: store.read("mart", t).count() for t in LOAD_ORDER}
+
+    def step(**given):
+        report = mart.run(spark, store.root, paths, day, today=dt.date(2022, 3, 6), sinks=sinks, **given).collect()
+        assert report[0]["step"] == "UNCHANGED"
+        return [(r["step"], r["table_name"], r["rows"]) for r in report[1:]]
+
+    first = step()
+    done = LOAD_ORDER[:LOAD_ORDER.index("calendario")]
+    assert first == [*[("shaky WRITTEN", t, counts[t]) for t in done], ("shaky FAILED", "calendario", None),
+                     *[("json WRITTEN", t, counts[t]) for t in LOAD_ORDER]]
+    second = step()
+    assert second[:12] == [(f"shaky {'HELD' if t in done else 'WRITTEN'}", t, counts[t]) for t in LOAD_ORDER]
+    assert all(s == "json HELD" for s, _, _ in second[12:])
+    assert sorted(written) == sorted(counts.items())
+    assert all(s.endswith("HELD") for s, _, _ in step()) and len(written) == 12
+
+
 def test_sinks(spark, store, tmp_path):
     def down(table, df):
         raise ConnectionError("target is down")
