@@ -3,7 +3,8 @@
 Documents become blocks of word numbers (a few million words, pieces parted by 0, one row each). A phrase can only
 occur ``least`` times if its parts do, so words are counted first, then pairs of frequent words, then phrases of three
 and four words whose neighbours all are frequent pairs. What is frequent goes back only to the blocks that hold it, so
-a task never has more than one block and the frequent words and pairs of that block: nothing is broadcast.
+a task never has more than one block and the frequent words and pairs of that block: nothing is broadcast. Once the
+frequent words are known, blocks are written anew in their ids, 0 for all other words.
 
 Inside a block phrases are counted by a HAT-trie: hash containers under a shallow trie of word ids. A container covers
 a range of first words; one that outgrows ``CAPACITY`` bursts, into two ranges, or, where it holds one first word
@@ -20,7 +21,7 @@ long text is cut between blocks at the end of a piece; one piece stays in one bl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -35,7 +36,7 @@ from outorga.operators.keys import dense_ids
 
 LEAST, TOP, LONGEST = 30, 2000, 4
 #: Words of a block, entries of a container before it bursts, entries of a trie before it spills.
-BLOCK, CAPACITY, BUDGET = 1 << 21, 1 << 14, 1 << 20
+BLOCK, CAPACITY, BUDGET = 6 << 20, 1 << 14, 1 << 20
 #: Keys that are put into a trie, bytes of text that are cut into words, and rows of a run at a time.
 CHUNK, SLICE, ROWS = 1 << 18, 1 << 20, 1 << 16
 #: A-Z in lower case, ends of pieces as a full stop, tab as a space.
@@ -89,10 +90,15 @@ class HatTrie:
         middle = ids[len(ids) // 2]
         if middle == ids[0]:
             middle = ids[np.searchsorted(ids, middle, "right") % len(ids)]
-        if middle == ids[0]:
+        if middle == ids[0]:  # one id only: a node for it, and containers for the ids around it
             if self.shift:
-                self.children[k] = HatTrie(0, self.capacity)
-                self.children[k].add(keys, counts)
+                node, one = HatTrie(0, self.capacity), int(middle)
+                node.add(keys, counts)
+                parts = [(self.starts[k], Container()), (one, node), (one + 1, Container())]
+                parts = parts[self.starts[k] == one :]
+                if self.starts[k + 1 : k + 2] == [one + 1]:
+                    parts.pop()
+                self.starts[k : k + 1], self.children[k : k + 1] = [start for start, _ in parts], [part for _, part in parts]
             return
         at = np.searchsorted(ids, middle)
         halves = Container(), Container()
@@ -121,11 +127,12 @@ class HatTrie:
             yield tuple(np.concatenate(c) for c in zip(*parts))
 
 
-def _runs(keys: np.ndarray, capacity: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted runs (keys, counts) of one block."""
+def _runs(chunks: Iterable[np.ndarray], capacity: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted runs (keys, counts) of the keys of one block, which come in chunks."""
     trie = HatTrie(32, capacity)
-    for at in range(0, len(keys), CHUNK):
-        trie.add(*np.unique(keys[at : at + CHUNK], return_counts=True))
+    for keys in chunks:
+        if len(keys):
+            trie.add(*np.unique(keys, return_counts=True))
         if trie.size > budget:
             yield from trie.spill(budget // 2)
     if trie.size:
@@ -160,7 +167,7 @@ def _blocked(words: int):
     """Documents to blocks of numbers, and the words of each block with their counts."""
 
     def flush(block: int, indexes: dict[str, Index], tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
-        raw = tokens.tobytes()
+        raw, size = _packed(tokens)
         counts = np.bincount(tokens, minlength=1 + max(max(index.values()) for index in indexes.values()))
         for lang, index in indexes.items():
             names = pa.array(list(index)[1:], pa.binary()).cast(pa.string())
@@ -173,7 +180,7 @@ def _blocked(words: int):
                     [np.full(n, block), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.array([lang] * n, pa.string()),
                      names.slice(at, ROWS), local[part], counts[local[part]]], names=[c.split()[0] for c in BLOCKS.split(", ")])
         yield pa.record_batch(
-            [pa.array([block]), pa.array([pa.compress(raw, "zstd", asbytes=True)]), pa.array([len(raw)], pa.int32()),
+            [pa.array([block]), pa.array([raw]), pa.array([size], pa.int32()),
              pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64())],
             names=[c.split()[0] for c in BLOCKS.split(", ")])
 
@@ -204,63 +211,107 @@ def _blocked(words: int):
     return run
 
 
-def _streamed(blocks: DataFrame, *known: DataFrame) -> DataFrame:
+def _streamed(blocks: DataFrame, known: DataFrame) -> DataFrame:
     """For each block what is known of it, then its words, one block after the other."""
-    stream = blocks.select("block", F.lit(9).alias("kind"), "tokens", "size")
-    for k, rows in enumerate(known):
-        stream = stream.unionByName(rows.withColumn("kind", F.lit(k)), allowMissingColumns=True)
+    stream = blocks.select("block", F.lit(1).alias("kind"), "tokens", "size")
+    stream = stream.unionByName(known.withColumn("kind", F.lit(0)), allowMissingColumns=True)
     return stream.repartition("block").sortWithinPartitions("block", "kind")
 
 
-def _counting(longer: bool, capacity: int, budget: int):
-    """Blocks to sorted runs: (block, key, n) of pairs, or (high, low, n) of phrases of three and four words."""
-
-    def ids(tokens: bytes, size: int, local: list, number: list) -> np.ndarray:
-        words = np.frombuffer(pa.decompress(tokens, decompressed_size=size, codec="zstd", asbytes=True), np.int32)
-        to = np.zeros(int(words.max()) + 1, np.int64)
-        if local:
-            to[np.concatenate(local)] = np.concatenate(number)
-        return to[words]
-
-    def pairs(block: int, words: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys = (words[:-1] << 32 | words[1:])[(words[:-1] > 0) & (words[1:] > 0)]
-        for key, n in _runs(keys, capacity, budget):
-            for at in range(0, len(key), ROWS):
-                yield pa.record_batch([np.full(len(key[at : at + ROWS]), block), key[at : at + ROWS], n[at : at + ROWS]], names=["block", "key", "n"])
-
-    def phrases(words: np.ndarray, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-        pair = words[:-1] << 32 | words[1:]
-        at = np.minimum(np.searchsorted(frequent, pair), len(frequent) - 1)
-        node = np.where(frequent[at] == pair, at, -1)
-        three = (node[:-1] >= 0) & (node[1:] >= 0)
-        four = three[:-1] & three[1:]
-        for keys, low in (((node[:-1] << 32 | words[2:])[three], None), ((node[:-2] << 32 | node[2:])[four], frequent)):
-            for key, n in _runs(keys, capacity, budget):
-                for k in range(0, len(key), ROWS):
-                    part = key[k : k + ROWS]
-                    rest = part & WORD
-                    yield pa.record_batch([frequent[part >> 32], rest << 32 if low is None else low[rest], n[k : k + ROWS]], names=["high", "low", "n"])
+def _packed(words: np.ndarray) -> tuple[bytes, int]:
+    raw = words.astype(np.int32).tobytes()
+    return pa.compress(raw, "zstd", asbytes=True), len(raw)
+
+
+def _unpacked(row: pa.RecordBatch) -> np.ndarray:
+    size = row.column("size")[0].as_py()
+    return np.frombuffer(pa.decompress(row.column("tokens")[0].as_py(), decompressed_size=size, codec="zstd", asbytes=True), np.int32)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    """(block, what is known of it by column, its words) from a stream in order of blocks."""
+    current, known = None, []
+    for batch in batches:
+        block, kind = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]), [True]]))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if block[a] != current:
+                current, known = block[a], []
+            part = batch.slice(a, b - a)
+            if kind[a] == 0:
+                known.append([part.column(c).to_numpy() for c in columns])
+            else:
+                none = [np.zeros(0, np.int64)] * len(columns)
+                yield int(current), [np.concatenate(c) for c in zip(*known or [none])], _unpacked(part)
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in the ids of frequent words, 0 for all others."""
+    for block, (local, number), words in _by_block(batches, ["local", "id"]):
+        to = np.zeros(int(words.max()) + 1, np.int32)
+        to[local] = number
+        raw, size = _packed(to[words])
+        yield pa.record_batch([pa.array([block]), pa.array([raw]), pa.array([size], pa.int32())], names=["block", "tokens", "size"])
+
+
+def _pair_runs(capacity: int, budget: int):
+    """Coded blocks to sorted runs (block, key, n) of pairs of frequent words."""
+
+    def keys(words: np.ndarray) -> Iterator[np.ndarray]:
+        for at in range(0, len(words) - 1, CHUNK):
+            first, second = words[at : at + CHUNK], words[at + 1 : at + CHUNK + 1]
+            both = (first[: len(second)] > 0) & (second > 0)
+            yield first[: len(second)][both].astype(np.int64) << 32 | second[both]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, local, number, frequent = None, [], [], []
         for batch in batches:
-            block, kind = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]), [True]]))
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if block[a] != current:
-                    current, local, number, frequent = block[a], [], [], []
-                part = batch.slice(a, b - a)
-                if kind[a] == 0:
-                    local.append(part.column("local").to_numpy())
-                    number.append(part.column("id").to_numpy())
-                elif kind[a] == 1:
-                    frequent.append(part.column("key").to_numpy())
-                else:
-                    words = ids(part.column("tokens")[0].as_py(), part.column("size")[0].as_py(), local, number)
-                    if not longer:
-                        yield from pairs(int(current), words)
-                    elif frequent and len(words) > 3:
-                        yield from phrases(words, np.unique(np.concatenate(frequent)))
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                block = row.column("block")[0].as_py()
+                for key, n in _runs(keys(_unpacked(row)), capacity, budget):
+                    for at in range(0, len(key), ROWS):
+                        part = key[at : at + ROWS]
+                        yield pa.record_batch([np.full(len(part), block), part, n[at : at + ROWS]], names=["block", "key", "n"])
+
+    return run
+
+
+def _phrase_runs(capacity: int, budget: int):
+    """Coded blocks and their frequent pairs to sorted runs (high, low, n) of phrases of three and four words."""
+
+    def nodes(words: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+        """For each place the number of the frequent pair that starts there, -1 for none."""
+        out = np.full(len(words), -1, np.int32)
+        for at in range(0, len(words) - 1, CHUNK):
+            second = words[at + 1 : at + CHUNK + 1]
+            pair = words[at : at + len(second)].astype(np.int64) << 32 | second
+            found = np.minimum(np.searchsorted(frequent, pair), len(frequent) - 1)
+            out[at : at + len(pair)] = np.where(frequent[found] == pair, found, -1)
+        return out
+
+    def threes(words: np.ndarray, node: np.ndarray) -> Iterator[np.ndarray]:
+        for at in range(0, len(words), CHUNK):
+            here = at + np.flatnonzero((node[at : at + CHUNK][: len(node) - 1 - at] >= 0) & (node[at + 1 : at + CHUNK + 1] >= 0))
+            yield node[here].astype(np.int64) << 32 | words[here + 2]
+
+    def fours(node: np.ndarray) -> Iterator[np.ndarray]:
+        for at in range(0, len(node) - 2, CHUNK):
+            third = node[at + 2 : at + CHUNK + 2]
+            here = at + np.flatnonzero((node[at : at + len(third)] >= 0) & (node[at + 1 : at + 1 + len(third)] >= 0) & (third >= 0))
+            yield node[here].astype(np.int64) << 32 | node[here + 2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (frequent,), words in _by_block(batches, ["key"]):
+            frequent = np.unique(frequent)
+            if not len(frequent):
+                continue
+            node = nodes(words, frequent)
+            for chunks, ends in ((threes(words, node), None), (fours(node), frequent)):
+                for key, n in _runs(chunks, capacity, budget):
+                    for at in range(0, len(key), ROWS):
+                        part = key[at : at + ROWS]
+                        rest = part & WORD
+                        yield pa.record_batch([frequent[part >> 32], rest << 32 if ends is None else ends[rest], n[at : at + ROWS]], names=["high", "low", "n"])
 
     return run
 
@@ -282,17 +333,26 @@ def phrase_counts(
     words = made.filter(F.col("local").isNotNull()).select("block", "lang", "word", "local", "n")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
 
-    frequent = stored(words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least))
+    # The rows of a word meet once: they get its count, and the first of its places in blocks as its name.
+    of_word = W.partitionBy("lang", "word")
+    first = F.min(F.struct("block", "local")).over(of_word)
+    seen = words.withColumns({"f": F.sum("n").over(of_word), "first": first}).filter(F.col("f") >= least)
+    is_first = (F.col("block") == F.col("first.block")) & (F.col("local") == F.col("first.local"))
+    seen = stored(seen.select(
+        "block", "local", F.col("first.block").alias("b"), F.col("first.local").alias("l"),
+        *[F.when(is_first, F.col(c)).alias(c) for c in ("lang", "word", "f")]))
+    frequent = seen.filter(F.col("word").isNotNull()).select("b", "l", "lang", "word", "f")
     vocabulary = stored(dense_ids(frequent, "id", ["lang", "word"], unique=True).join(frequent, ["lang", "word"]))
     if not vocabulary.filter(F.col("id") > (1 << 31) - 1).isEmpty():
         raise ValueError("more than 2^31 frequent words")
-    known = stored(words.join(vocabulary, ["lang", "word"]).select("block", "local", "id"))
+    known = seen.join(vocabulary.select("b", "l", "id"), ["b", "l"]).select("block", "local", "id")
+    coded = stored(_streamed(blocks, known).mapInArrow(_coded, "block long, tokens binary, size int"))
 
-    run = _streamed(blocks, known).mapInArrow(_counting(False, capacity, budget), "block long, key long, n long")
+    run = coded.mapInArrow(_pair_runs(capacity, budget), "block long, key long, n long")
     merged = run.withColumn("f", F.sum("n").over(W.partitionBy("key"))).filter(F.col("f") >= least)
     pairs = stored(merged.select("block", "key", "f"))
 
-    longer = _streamed(blocks, known, pairs.select("block", "key")).mapInArrow(_counting(True, capacity, budget), "high long, low long, n long")
+    longer = _streamed(coded, pairs.select("block", "key")).mapInArrow(_phrase_runs(capacity, budget), "high long, low long, n long")
     longer = longer.groupBy("high", "low").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
 
     def both(c: str) -> list[Column]:

@@ -54,7 +54,7 @@ g as (select lang, k, w, unnest(range(1, len(w) - k + 2)) i from w, (values (1),
 f as (select lang, k, array_to_string(w[i:i + k - 1], ' ') phrase, count(*) f from g group by all having count(*) >= 30),
 c as (select lang, k, phrase, f a, string_split(phrase, ' ') w from f where k > 1),
 s as (select c.*, i, l.f l, r.f r, 2000000::hugeint * a // (l.f + r.f) score from (select *, unnest(range(1, k)) i from c) c
-  join f l on l.lang = c.lang and l.phrase = array_to_string(w[1:i], ' ') join f r on r.lang = c.lang and r.phrase = array_to_string(w[i + 1:k], ' ')),
+  join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:c.i], ' ') join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[c.i + 1:c.k], ' ')),
 m as (select * from s qualify row_number() over (partition by lang, phrase order by score, i) = 1),
 o as (select lang, array_to_string(w[i:i + j - 1], ' ') phrase, max(a) over_a from
   (select *, unnest(range(1, k - j + 2)) i from c, (values (2), (3)) t(j) where j < k) group by all)

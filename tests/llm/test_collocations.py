@@ -53,8 +53,9 @@ def corpus():
 
 
 @pytest.mark.parametrize("sizes", [{}, {"block": 50, "capacity": 4, "budget": 16}, {"block": 700, "capacity": 16, "budget": 40}])
-@pytest.mark.parametrize("least,top", [(3, 1 << 20), (6, 12)])
-def test_collocations_equal_brute_force(spark, sizes, least, top):
+@pytest.mark.parametrize("least,top,chunk", [(3, 1 << 20, 5), (6, 12, 1 << 18)])
+def test_collocations_equal_brute_force(spark, sizes, least, top, chunk, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
     rows = corpus()
     table = spark.createDataFrame([(*r, 1, "w", 2) for r in rows], SCHEMA).repartition(5)
     got = collocations.collocations(table, least, top, **sizes).collect()
@@ -73,13 +74,15 @@ def test_trie_counts_bursts_and_spills(budget):
     hot = rng.integers(1, 4, 20_000) << 32 | rng.integers(1, 2000, 20_000)  # few first words: nodes for the next one
     keys = np.concatenate([hot, rng.integers(1, 500, 20_000) << 32 | rng.integers(1, 5, 20_000)])
     total = Counter()
-    for key, n in collocations._runs(keys, 32, budget):
+    for key, n in collocations._runs(np.array_split(keys, 8), 32, budget):
         assert (np.diff(key) > 0).all()
         total.update(dict(zip(key.tolist(), n.tolist())))
     assert total == Counter(keys.tolist())
     trie = collocations.HatTrie(32, 32)
     trie.add(*np.unique(keys, return_counts=True))
     assert trie.size == len(total) and any(isinstance(c, collocations.HatTrie) for c in trie.children)
+    for start, end, child in zip(trie.starts, trie.starts[1:], trie.children):
+        assert not isinstance(child, collocations.HatTrie) or end == start + 1  # a node stands for one word
     assert all(len(c) <= 32 for node in (trie, *trie.children) if isinstance(node, collocations.HatTrie)
                for c in node.children if not isinstance(c, collocations.HatTrie))
     assert list(trie.spill(trie.size)) == []
