@@ -2,9 +2,11 @@
 
 Lengths are put on a grid. Patterns of one to three lengths that fill a sequence exactly are listed, and
 how often each should be used is fitted to the histogram of lengths by non-negative least squares. The fit
-is rounded to what the histogram can serve; lengths left over are packed best-fit, longest first, again as
-counts. All that is planned is a bounded table of patterns (the grid has GRID lengths); the pieces are
-then numbered within their length, in parallel, and each takes the place that the plan has for its number.
+is rounded to what the histogram can serve and filled with exact lengths, the longest of each grid length first;
+lengths left over are packed best-fit by their exact lengths, longest first, as counts, into the space that the
+patterns leave and into further sequences, several of one length together. All that is planned is a bounded table
+of patterns (at most one row for each length up to the limit); the pieces are then numbered within their length, in
+parallel, and each takes the place that the plan has for its number.
 
 Defined results: a null text counts as empty, and an empty one is a piece with the end token alone;
 repeated documents are packed each for itself; a null doc_id stays null; an empty table gives an empty result.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -210,71 +213,116 @@ def fitted(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     return out
 
 
-def best_fit(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Pack the lengths in ``counts`` longest first, each where the least space is left; many at once."""
+#: Sequences alike: (length, copies) of what they hold, and how many there are.
+Shapes = list[tuple[tuple[tuple[int, int], ...], int]]
+
+
+def exact(patterns: list[tuple[tuple[int, ...], int]], counts: np.ndarray, unit: int) -> tuple[Shapes, np.ndarray]:
+    """Patterns of grid lengths, cut into runs of exact lengths, and what is left of ``counts`` (by exact length)."""
+    rest, out = counts.copy(), []
+    longest = np.arange(len(counts) // unit + 2) * unit  # where to look next below each grid length
+    for pattern, n in patterns:
+        while n:
+            used: dict[int, int] = {}
+            for v in pattern:
+                length = int(longest[v])
+                while rest[length] <= used.get(length, 0):
+                    length -= 1
+                if not used:
+                    longest[v] = length
+                used[length] = used.get(length, 0) + 1
+            times = min(n, *[int(rest[length]) // k for length, k in used.items()])
+            for length, k in used.items():
+                rest[length] -= times * k
+            out.append((tuple(used.items()), times))
+            n -= times
+    return out, rest
+
+
+def best_fit(counts: np.ndarray, started: Shapes = ()) -> Shapes:
+    """Pack the lengths in ``counts`` longest first, each where the least space is left, many at once: into the
+    sequences that are ``started``, then into new ones, as many copies to a sequence as it has room for."""
     top = len(counts) - 1
-    spaces: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+    groups: dict[int, Shapes] = {}
+    for shape, n in started:
+        groups.setdefault(top - sum(length * k for length, k in shape), []).append((shape, n))
+    spaces = sorted(groups)
+
+    def put(space: int, shape: tuple[tuple[int, int], ...], n: int) -> None:
+        if space not in groups:
+            insort(spaces, space)
+        groups.setdefault(space, []).append((shape, n))
+
     for length in range(top, 0, -1):
         n = int(counts[length])
         while n:
-            room = next((s for s in range(length, top) if spaces.get(s)), None)
-            shape, free = spaces[room].pop() if room is not None else ((), n)
-            used = min(n, free)
-            if used < free and room is not None:
-                spaces[room].append((shape, free - used))
-            spaces.setdefault((top if room is None else room) - length, []).append((shape + (length,), used))
-            n -= used
-    return [x for group in spaces.values() for x in group]
-
-
-def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and repeats that take up ``counts`` exactly."""
-    first = fitted(counts)
-    rest = counts.copy()
-    for shape, n in first:
-        for v in shape:
-            rest[v] -= n
-    return first + best_fit(rest)
+            at = bisect_left(spaces, length)
+            space = spaces[at] if at < len(spaces) else top
+            fit = space // length
+            if at < len(spaces):
+                shape, free = groups[space].pop()
+                if not groups[space]:
+                    del groups[space], spaces[at]
+            else:
+                shape, free = (), -(-n // fit)
+            full = min(free, n // fit)
+            if full:
+                put(space - fit * length, (*shape, (length, fit)), full)
+                n -= full * fit
+            if full < free and n:  # the last ones share a sequence
+                put(space - n * length, (*shape, (length, n)), 1)
+                full, n = full + 1, 0
+            if full < free:
+                put(space, shape, free - full)
+    return [x for group in groups.values() for x in group]
+
+
+def plan(counts: np.ndarray, unit: int) -> Shapes:
+    """Shapes of exact lengths and repeats that take up ``counts`` (by exact length, from 0) exactly."""
+    grid = np.zeros(-(-len(counts) // unit) + 1, np.int64)
+    np.add.at(grid, -(-np.arange(len(counts)) // unit), counts)
+    started, rest = exact(fitted(grid[: (len(counts) - 1) // unit + 1]), counts, unit)
+    return best_fit(rest, started)
 
 
 def packed(pieces: DataFrame, limit: int = LIMIT, grid: int = GRID) -> DataFrame:
     """The (stored) pieces with sequence_id and offset."""
-    unit = -(-limit // grid)
-    size = F.ceil(F.col("length") / unit).cast("int")
-    histogram = pieces.groupBy(size.alias("size")).count().collect()  # at most ``grid`` rows
-    counts = np.zeros(-(-limit // unit) + 1, np.int64)
+    spark = pieces.sparkSession
+    size = F.col("length").cast("int")
+    histogram = pieces.groupBy(size.alias("size")).count().collect()  # at most ``limit`` rows
+    counts = np.zeros(limit + 1, np.int64)
     for r in histogram:
         counts[r["size"]] = r["count"]
     runs, first = {}, 0
-    for shape, n in plan(counts):  # per length: its place in a pattern, first sequence, repeats
-        for slot, length in enumerate(shape):
-            runs.setdefault(length, []).append((slot, first, n))
+    for shape, n in plan(counts, -(-limit // grid)):  # per length: place in a shape, copies, first sequence, repeats
+        slot = 0
+        for length, copies in shape:
+            runs.setdefault(length, []).append((slot, copies, first, n))
+            slot += copies
         first += n
-    keys, slots, firsts = [], [], []
+    table = []
     for length in sorted(runs):
         rank = 0
-        for slot, sequence, n in runs[length]:
-            keys.append((length << 40) + rank)
-            slots.append(slot)
-            firsts.append(sequence)
-            rank += n
-    keys, slots, firsts = np.array(keys, np.int64), np.array(slots, np.int64), np.array(firsts, np.int64)
+        for slot, copies, sequence, n in runs[length]:
+            table.append(((length << 40) + rank, slot, copies, sequence))
+            rank += n * copies
+    keys, slots, copies_, firsts = np.array(table, np.int64).reshape(-1, 4).T
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             key = (f["size"].to_numpy(np.int64) << 40) + f["rank"].to_numpy(np.int64)
             at = np.searchsorted(keys, key, "right") - 1
-            yield f.drop(columns=["size", "rank"]).assign(sequence_id=firsts[at] + key - keys[at], slot=slots[at])
+            far = key - keys[at]
+            yield f.drop(columns=["size", "rank"]).assign(sequence_id=firsts[at] + far // copies_[at], slot=slots[at] + far % copies_[at])
 
-    hands = min(DEALS, -(-int(counts.max()) // HAND)) or 1
-    rows = pieces.withColumn("size", size).withColumn("hand", F.col("deal") % hands)
-    # at most grid * DEALS rows, whatever the input
+    # how many hands the pieces of a length are numbered in: at most ``limit`` rows
+    hands = spark.createDataFrame([(n, min(DEALS, -(-int(counts[n]) // HAND))) for n in np.flatnonzero(counts).tolist()], "size int, hands int")
+    rows = pieces.withColumn("size", size).join(F.broadcast(hands), "size").withColumn("hand", F.col("deal") % F.col("hands"))
     before = rows.groupBy("size", "hand").count().select(
         F.col("size").alias("_s"), F.col("hand").alias("_h"),
         (F.sum("count").over(W.partitionBy("size").orderBy("hand")) - F.col("count")).alias("before"))
     one = W.partitionBy("size", "hand").orderBy("doc_id", "piece", "deal")
-    ranked = rows.withColumn("n", F.row_number().over(one)).join(
-        F.broadcast(before), (F.col("size") == F.col("_s")) & (F.col("hand") == F.col("_h")))
+    ranked = rows.withColumn("n", F.row_number().over(one)).join(before, (F.col("size") == F.col("_s")) & (F.col("hand") == F.col("_h")))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "size", (F.col("before") + F.col("n") - 1).alias("rank"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, slot long"
     ahead = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
