@@ -28,10 +28,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outorga.llm.common import stored
+from outorga.llm.common import packed, stored, unpacked
 
 WIDTH = 5
 PERCENT = 80
@@ -119,7 +119,7 @@ def shared_map(documents: DataFrame) -> np.ndarray:
         for _, sets in _sets(batches, 0):
             by_class = {_signature(s): s[: prefix(len(s))] for s in sets if len(s)}
             if by_class:
-                kinds = np.array([int.from_bytes(k[:5], "little") for k in by_class], np.int64)
+                kinds = np.array([int.from_bytes(k[:8], "little", signed=True) for k in by_class], np.int64)
                 sizes = [len(s) for s in by_class.values()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(list(by_class.values())).view(np.int64)), pa.array(np.repeat(kinds, sizes))], ["token", "kind"])
@@ -141,7 +141,8 @@ def _is_shared(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def described(documents: DataFrame, bits) -> DataFrame:
-    """(doc_id, n, sig, tokens): each document's class, and the whole set for classes that can have a partner."""
+    """(doc_id, key, n, sig, tokens): each document's class, and the whole set for classes that can have a partner.
+    ``key`` is the digest of the text; with it, rows that repeat an id are told apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -156,11 +157,16 @@ def described(documents: DataFrame, bits) -> DataFrame:
                 if able:
                     seen.add(sig)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), pa.array(whole, pa.binary())],
-                ["doc_id", "n", "sig", "tokens"])
+                [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary()), pa.array(whole, pa.binary())],
+                ["doc_id", "key", "n", "sig", "tokens"])
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, sig binary, tokens binary")
+    text = F.col("text").cast("string")
+    rows = documents.select(F.col("doc_id").cast("long"), text.cast("binary").alias("text"), _row_key(text).alias("key"))
+    return rows.mapInArrow(run, "doc_id long, key binary, n long, sig binary, tokens binary")
+
+
+def _row_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -305,8 +311,8 @@ def _candidates(lists: DataFrame, percent: int = PERCENT) -> DataFrame:
         side("b"), (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _close() & near).select("a", "b").distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+def members(documents: DataFrame) -> DataFrame:
+    """Per document: doc_id, key, n, and comp, the name of its component (null without shingles)."""
     spark = documents.sparkSession
     bits = spark.sparkContext.broadcast(shared_map(documents))
     sets = stored(described(documents, bits))
@@ -332,21 +338,32 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     comps = components(links.union(stored(verified(stored(_candidates(lists)), classes))))
     groups = stored(classes.select("digest", "sig").join(comps.withColumnRenamed("sig", "_s"), F.col("sig") == F.col("_s"), "left").select(
         "digest", F.coalesce("comp", "sig").cast("string").alias("comp")))
-    members = sets.select("doc_id", "n", "sig").join(groups, F.col("sig") == F.col("digest"), "left").select(
-        "doc_id", "n", F.coalesce("comp", F.hex("sig")).alias("comp"))
-    members = stored(members)
-    least = members.filter(F.col("comp").isNotNull()).groupBy(F.col("comp").alias("_c")).agg(F.min("doc_id").alias("least"), F.count("*").alias("k")).filter("k > 1")
-    return members.join(least, F.col("comp") == F.col("_c"), "left").select(
+    return stored(sets.select("doc_id", "key", "n", "sig").join(groups, F.col("sig") == F.col("digest"), "left").select(
+        "doc_id", "key", "n", F.coalesce("comp", F.hex("sig")).alias("comp")))
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    found = members(documents)
+    least = found.filter(F.col("comp").isNotNull()).groupBy(F.col("comp").alias("_c")).agg(F.min("doc_id").alias("least"), F.count("*").alias("k")).filter("k > 1")
+    return found.join(least, F.col("comp") == F.col("_c"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def distinct(documents: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with its own columns."""
-    found = stored(near_duplicates(documents))
-    gone = stored(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct())
-    left = documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    ids = found.filter(F.col("doc_id").isNotNull())
-    if ids.count() > ids.select("doc_id").distinct().count():  # rows that repeat an id
-        none = left.filter(F.col("doc_id").isNull())
-        left = left.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).union(none)
-    return left
+    """One row of each component, with its own columns: that of the smallest doc_id, null ids last; among rows of that
+    id the one whose text has the smallest digest; of equal rows any one. Rows without shingles stay, all of them."""
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    grouped = members(documents).filter(F.col("comp").isNotNull()).groupBy("comp", "doc_id", "key").agg(F.count("*").alias("k"))
+    grouped = stored(grouped.withColumn("rank", rank))
+    several = grouped.groupBy(F.col("comp").alias("_c")).agg(F.min("rank").alias("first"), F.sum("k").alias("all")).filter(F.col("all") > 1)
+    judged = grouped.join(several, F.col("comp") == F.col("_c")).select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "k", F.col("rank").eqNullSafe(F.col("first")).alias("stays"))
+    same = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_key"))
+    rows = packed(documents, _row_key(F.col("text").cast("string")).alias("_digest"))
+    left = rows.join(judged.filter(~F.col("stays")).select("_id", "_key"), same, "left_anti")
+    repeated = stored(judged.filter(F.col("stays") & (F.col("k") > 1)).select("_id", "_key"))
+    if not repeated.isEmpty():
+        once = left.join(repeated, same).dropDuplicates(["_id", "_key"]).select("_row")
+        left = left.join(repeated, same, "left_anti").select("_row").union(once)
+    return unpacked(left)
