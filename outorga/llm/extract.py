@@ -8,23 +8,32 @@ weighted mean are content. Paths through elements that are furniture by their ta
 class, id, role or a hidden attribute have less, unless the marked element holds most of the page's unlinked text;
 paths outside of article and main have the less, the more of the unlinked text is inside.
 
+The scanner never goes back: paths and marked elements are numbers with a parent, what is open is counted by tag, and
+a search that found nothing is not made again. So its time is in proportion to the page, however deep the elements
+and whatever quotes or tags lack their ends.
+
 Defined results: null or empty html, or a page without content, gives the empty text; unclosed and stray tags
-are taken as browsers take them; blocks of the same text stay as often as they occur; repeated pages get
-equal rows; an empty table gives an empty result. Extra columns are not looked at.
+are taken as browsers take them, but a quote that nothing closes is a character; a tag without an end takes the rest of
+the page with it; blocks of the same text stay as often as they occur; repeated pages get
+equal rows; an empty table gives an empty result; a very long page is one row of one task. Extra columns are not
+looked at.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
+#: What a less-than sign starts: a comment, CDATA, a declaration, or a tag.
+OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*+))")
+UP_TO_QUOTE = re.compile(r"[^\"'>]*+")
 ATTRIBUTES = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
@@ -44,6 +53,8 @@ MARKS = set("ad ads advert adverts advertisement advertising adsense banner spon
             "contentinfo skip paywall copyright legal toc".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("ul ol dl table body html article main section div td th aside nav footer header form".split())
+#: Where the search for elements that a new one closes looks.
+STOPS = SCOPE | {"p"} | set().union(*CLOSES.values())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？·¿¡«»“”\"']")
 SIGMA = 1.0
 SHARE = 0.12
@@ -62,64 +73,153 @@ def _marked(tag: str, attributes: dict[str, str], within: bool) -> bool:
     """Whether an element is marked as furniture. A header inside the article is not."""
     if tag in ("html", "body"):
         return False
-    if tag in FRAMES or (tag == "header" and not within) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+    if tag in FRAMES or (tag == "header" and not within):
+        return True
+    if not attributes:
+        return False
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     for name in ("class", "id", "role"):
-        value = attributes.get(name, "")
+        value = attributes.get(name)
+        if not value:
+            continue
         parts = set(re.split(r"[^a-z0-9]+", value))
         if "hidden" in value.split() or (parts & MARKS and not (within and parts & {"header"})):
             return True
     return False
 
 
-def blocks(page: str) -> list[tuple[str, str, int, bool, tuple[int, ...], bool]]:
-    """(path, text, linked characters, furniture, marked elements around, inside article or main) of each block with
-    text, in order."""
-    out: list[tuple[str, str, int, bool, tuple[int, ...], bool]] = []
-    stack: list[tuple[str, str, bool, tuple[int, ...], bool]] = []  # tag, path, furniture, marks, within
-    marked = 0
+class Block(NamedTuple):
+    path: int
+    text: str
+    linked: int
+    furniture: bool
+    mark: int
+    within: bool
+
+
+class Element(NamedTuple):
+    """An open element with what holds for text in it."""
+
+    tag: str
+    path: int
+    furniture: bool
+    mark: int
+    within: bool
+    links: int
+    stop: int  # place on the stack of the nearest element, this one included, that is one of ``STOPS``; -1 for none
+
+
+ROOT = Element("", 0, False, 0, False, 0, -1)
+
+
+class Scanner:
+    """Tags and text of a page, in one pass."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.gone = page, set()
+        self.last = page.rfind(">")
+
+    def find(self, what: str, at: int) -> int:
+        """Like str.find, but what is not there any more is not looked for again."""
+        if what in self.gone:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def end_of_tag(self, at: int) -> int:
+        """Where the tag ends whose attributes start here; -1 if it has no end."""
+        while at <= self.last:
+            at = UP_TO_QUOTE.match(self.page, at).end()
+            if at > self.last:
+                return -1
+            if self.page[at] == ">":
+                return at
+            close = self.find(self.page[at], at + 1)
+            at = at + 1 if close < 0 else close + 1
+        return -1
+
+    def raw_end(self, tag: str, at: int) -> re.Match | None:
+        """The end tag of an element whose content is no markup."""
+        if f"</{tag}" in self.gone:
+            return None
+        found = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(self.page, at)
+        if found is None:
+            self.gone.add(f"</{tag}")
+        return found
+
+
+def blocks(page: str) -> tuple[list[Block], list[int]]:
+    """The blocks with text, in order, and for each marked element (from 1) the marked one around it (0 for none)."""
+    out: list[Block] = []
+    stack: list[Element] = []
+    opened: defaultdict[str, int] = defaultdict(int)
+    paths: dict[tuple[int, str], int] = {}
+    around = [0]
     text: list[str] = []
-    linked, here, at = 0, ("", False, (), False), 0
-    endless: set[str] = set()  # raw elements without an end tag further on
+    linked, here, at = 0, ROOT, 0
+    scan = Scanner(page)
 
     def flush() -> None:
         nonlocal linked
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append((here[0], joined, min(linked, len(joined)), *here[1:]))
+                out.append(Block(here.path, joined, min(linked, len(joined)), here.furniture, here.mark, here.within))
             text.clear()
         linked = 0
 
-    def place() -> tuple[str, bool, tuple[int, ...], bool]:
-        path, within = next(((s[1], s[4]) for s in reversed(stack) if s[0] not in INLINE), ("", False))
-        return (path, stack[-1][2], stack[-1][3], within) if stack else (path, False, (), within)
-
     def add(piece: str) -> None:
         nonlocal linked
         if piece:
             piece = html.unescape(piece)
             text.append(piece)
-            if any(s[0] == "a" for s in stack):
+            if here.links:
                 linked += len(piece.strip())
 
     def close(k: int) -> None:
+        """Close the element at place k and those in it."""
         nonlocal here
-        if any(s[0] not in INLINE for s in stack[k:]) or (k and stack[-1][2:4] != stack[k - 1][2:4]):
+        outer = stack[k - 1] if k else ROOT
+        if any(e.tag not in INLINE for e in stack[k:]) or (k and (here.furniture, here.mark) != (outer.furniture, outer.mark)):
             flush()
+        for e in stack[k:]:
+            opened[e.tag] -= 1
         del stack[k:]
-        here = place()
+        here = outer
 
-    while m := TOKEN.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        end, tag, attributes = m.group(1), (m.group(2) or "").lower(), m.group(3)
+    def innermost(tag: str) -> int:
+        k = len(stack) - 1
+        while stack[k].tag != tag:
+            k -= 1
+        return k
+
+    while (less := scan.find("<", at)) >= 0:
+        m = OPEN.match(page, less)
+        if m is None:  # a mere sign
+            add(page[at : less + 1])
+            at = less + 1
+            continue
+        add(page[at:less])
+        if m[1]:
+            end = scan.find("-->", m.end())
+            at = len(page) if end < 0 else end + 3
+            continue
+        if m[2] and (end := scan.find("]]>", m.end())) >= 0:
+            at = end + 3
+            continue
+        stop = page.find(">", m.end()) if m[2] or m[3] else scan.end_of_tag(m.end())
+        if stop < 0:
+            at = len(page)
+            break
+        at, tag, attributes = stop + 1, (m[5] or "").lower(), page[m.end() : stop]
         if not tag:
             continue
-        if end:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if k is not None:
-                close(k)
+        if m[4]:
+            if opened[tag] > 0:
+                close(innermost(tag))
             elif tag == "p":
                 flush()
             continue
@@ -130,65 +230,78 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, tuple[int, ...], bool]]
             if tag not in ("script", "style", "noscript", "template") and tag not in INLINE:
                 flush()
             # what is inside is no markup: '<n;i++){}</script>' is not a tag
-            stop = None if tag in endless else re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            if stop is None:
-                endless.add(tag)
-            if stop or tag in MERE_TEXT:
-                at = stop.end() if stop else len(page)
+            end = scan.raw_end(tag, at)
+            if end or tag in MERE_TEXT:
+                at = end.end() if end else len(page)
                 continue
         if tag not in INLINE:
-            if tag not in HEAD and (k := next((k for k, s in enumerate(stack) if s[0] == "head"), None)) is not None:
-                close(k)
-            same = CLOSES.get(tag)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or (same and stack[k][0] in same):
+            if tag not in HEAD and opened["head"] > 0:
+                close(next(k for k, e in enumerate(stack) if e.tag == "head"))
+            same = CLOSES.get(tag, ())
+            k = here.stop if opened["p"] > 0 or any(opened[t] > 0 for t in same) else -1
+            while k >= 0:
+                name, below = stack[k].tag, stack[k - 1].stop if k else -1
+                if name == "p" or name in same:
                     close(k)
                     if not same:
                         break
-                elif stack[k][0] in SCOPE:
+                elif name in SCOPE:
                     break
+                k = below
             flush()
         if tag in VOID or attributes.endswith("/"):
             continue
-        parent = stack[-1] if stack else ("", "", False, (), False)
-        within = parent[4] or tag in ("article", "main")
+        within = here.within or tag in ("article", "main")
         given = _attributes(attributes) if attributes else {}
-        names = ".".join(given.get("class", "").split())
-        path = parent[1] if tag in INLINE else f"{parent[1]}/{tag}{'.' + names if names else ''}"
-        marks = parent[3]
+        path = here.path
+        if tag not in INLINE:
+            names = ".".join(given["class"].split()) if "class" in given else ""
+            path = paths.setdefault((here.path, f"{tag}.{names}" if names else tag), len(paths) + 1)
+        mark = here.mark
         if _marked(tag, given, within):
-            marked += 1
-            marks = (*marks, marked)
-        if tag in INLINE and marks != parent[3]:
-            flush()
-        stack.append((tag, path, parent[2] or tag in FURNITURE, marks, within))
-        here = place()
+            mark = len(around)
+            around.append(here.mark)
+            if tag in INLINE:
+                flush()
+        here = Element(
+            tag, path, here.furniture or tag in FURNITURE, mark, within, here.links + (tag == "a"),
+            len(stack) if tag in STOPS else here.stop)
+        stack.append(here)
+        opened[tag] += 1
     add(page[at:])
     flush()
-    return out
+    return out, around
+
+
+def _mostly_unmarked(found: list[Block], around: list[int], plain: np.ndarray) -> np.ndarray:
+    """Whether each block lies in a marked element that holds no more than half of the unlinked text."""
+    own = np.bincount([b.mark for b in found], plain, len(around))
+    for k in range(len(around) - 1, 0, -1):  # an inner element has a larger number than the one around it
+        own[around[k]] += own[k] if around[k] else 0
+    marked, half = np.zeros(len(around), bool), plain.sum() / 2
+    for k in range(1, len(around)):
+        marked[k] = own[k] <= half or marked[around[k]]
+    return marked[[b.mark for b in found]]
 
 
 def content(page: str | None) -> list[str]:
     """Texts of the content blocks of a page."""
-    found = blocks(page or "")
+    found, around = blocks(page or "")
     if not found:
         return []
-    length = np.array([len(b[1]) for b in found], float)
-    points = np.array([len(PUNCTUATION.findall(b[1])) for b in found], float)
-    links = np.array([b[2] for b in found], float)
+    length = np.array([len(b.text) for b in found], float)
+    points = np.array([len(PUNCTUATION.findall(b.text)) for b in found], float)
+    links = np.array([b.linked for b in found], float)
     plain = length - links
-    of: dict[int, float] = {}  # unlinked text of each marked element
-    for b, v in zip(found, plain):
-        for mark in b[4]:
-            of[mark] = of.get(mark, 0) + v
-    marked = np.array([any(of[mark] <= plain.sum() / 2 for mark in b[4]) for b in found])
-    within = np.array([b[5] for b in found])
-    weight = np.where([b[3] for b in found], 0, np.where(marked, MARKED, 1.0))
+    marked = _mostly_unmarked(found, around, plain)
+    within = np.array([b.within for b in found])
+    weight = np.where([b.furniture for b in found], 0, np.where(marked, MARKED, 1.0))
     if (inside := plain @ (weight * within)) > 0:  # the page says where its article is, or some of it
         weight = weight * np.where(within, 1, (1 - inside / (plain @ weight)) ** 2)
     if not weight.any():
         return []
-    _, path = np.unique([f"{b[0]} {w}" for b, w in zip(found, weight)], return_inverse=True)
+    _, path = np.unique(np.array([[b.path, w] for b, w in zip(found, weight)]), axis=0, return_inverse=True)
+    path = path.reshape(-1)
     per = lambda v: np.bincount(path, v)
     n, total = per(np.ones(len(found))), per(length)
     ratio = total / n * (1 + per(points) / n) * (1 - per(links) / total) ** 2
@@ -199,7 +312,7 @@ def content(page: str | None) -> list[str]:
         np.pad(ratio, len(kernel)), kernel / kernel.sum(), "same")[len(kernel) : -len(kernel)]
     fused = (per(ratio + smooth * weight) / 2 / n)[path]  # of the path, with its surroundings
     bar = SHARE * np.average(fused, weights=length * weight)
-    return [b[1] for b, f in zip(found, fused) if f > 0 and f >= bar]
+    return [b.text for b, f in zip(found, fused) if f > 0 and f >= bar]
 
 
 def extract(pages: DataFrame) -> DataFrame:
