@@ -2,13 +2,13 @@
 
 A spot is a common word (an anchor) with the chain of the next content words after it, common words
 between them left out; in long stretches without an anchor, each word is one. The set of spots of a text, as hashes in order, is its fingerprint. Two fingerprints
-are compared by the Jaccard likeness of their sets; sets whose sizes alone rule out the least likeness of
-interest are not intersected and get 0.
+are compared by the Jaccard likeness of their sets.
 
 Defined results: null counts as the empty text; the start of a text is an anchor for its first word and its
 first two; the one spot of a text without words is that text; the empty text has the empty fingerprint. Two empty fingerprints have likeness 1. Equal texts have equal fingerprints.
 In the order of documents, rows with equal id go by the digest of their texts, null ids come last, and
-equal rows follow one another.
+equal rows follow one another. An empty table gives no rows, extra columns are not looked at, and a very long text is
+one row of one task.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ ANCHORS = (
     "como con del el es los las no para por se su una y").split()
 CHAIN = 2
 RUN = 6  # content words in a row from which on each chain among them is a spot too
-LEAST = 0.05  # likeness below which sizes alone may decide
 GROUP = 2000  # documents that are put in order together
 MOST_GROUPS = 1 << 18  # bounds the table of groups, the one broadcast here
 
@@ -61,14 +60,11 @@ def with_spots(df: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS
     return once(df, name, hashes).drop("_w")
 
 
-def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
-    """Jaccard likeness of two sets, 0 where their sizes rule out ``least``."""
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard likeness of two sets."""
     both = F.size(F.array_intersect(a, b))
-    return (
-        F.when(large == 0, F.lit(1.0))
-        .when(small < least * large, F.lit(0.0))
-        .otherwise(both / (F.size(a) + F.size(b) - both)))
+    either = F.size(a) + F.size(b) - both
+    return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
 def written(spots: Column) -> Column:
