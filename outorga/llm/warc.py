@@ -3,7 +3,8 @@
 An archive is two tables: ``payloads`` holds the bytes of each different payload once, under their SHA-256;
 ``headers`` holds the exact header block of every record. A record is its header block, an empty line, its
 payload and two line ends; it is put together again by joining the tables on the digest. Digests are counted
-again from the bytes that are read back, and a payload that fails that test is reported as null.
+again from the bytes that are read back. A record whose payload is lost, or fails that test, stays in the result with
+a null payload, record and payload digest; ``lost`` lists such records.
 
 Payloads of at least 100 bytes that are equal share one ``response`` record, that with the smallest page_id;
 the others are ``revisit`` records which refer to it. Shorter ones are all responses.
@@ -46,9 +47,10 @@ def records(pages: DataFrame, shared_from: int = SHARED_FROM, date: str = EMPTY_
     kind = F.when(F.col("first").isNull() | F.col("page_id").eqNullSafe(F.col("first")), "response").otherwise("revisit")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(END))
     record_id = lambda page: F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(">"))
+    uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))  # they would end the header line
     header = F.concat(
         F.lit(f"WARC/1.1{END}"), line("WARC-Type", kind), line("WARC-Record-ID", record_id(F.col("page_id"))),
-        line("WARC-Date", F.lit(date)), F.coalesce(line("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", "")), F.lit("")),
+        line("WARC-Date", F.lit(date)), F.coalesce(line("WARC-Target-URI", uri), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(kind == "revisit", F.concat(
             line("WARC-Refers-To", record_id(F.col("first"))),
@@ -75,8 +77,8 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of an archive, each put together from its header and its payload, with what its header says.
 
-    Columns: record (bytes), page_id, payload, payload_bytes, payload_digest (null where the bytes don't
-    have the digest they are stored under), record_type, refers_to.
+    Columns: record (bytes), page_id, payload, payload_bytes, payload_digest (these four but page_id null where the
+    payload is lost or its bytes don't have the digest they are stored under), record_type, refers_to.
     """
     headers = spark.read.schema("page_id long, digest string, header string").parquet(f"{path}/headers")
     field = lambda name: F.nullif(F.regexp_extract("header", rf"(?m)^{name}: (.*)$", 1), F.lit(""))
@@ -84,12 +86,19 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     said = headers.select(
         "header", field("WARC-Record-ID").alias("_id"), field("WARC-Type").alias("record_type"), field("WARC-Refers-To").alias("_to"),
         field("Content-Length").cast("long").alias("_length"), F.regexp_replace(field("WARC-Payload-Digest"), "^sha256:", "").alias("_digest"))
-    whole = said.join(payloads(spark, path), F.col("_digest") == F.col("digest"))
+    whole = said.join(payloads(spark, path), F.col("_digest") == F.col("digest"), "left")
     end = F.encode(F.lit(END), "UTF-8")
     right = F.col("verified") & (F.col("payload_bytes") == F.col("_length"))
+    record = F.concat(F.encode("header", "UTF-8"), end, F.col("payload"), end, end)
     return whole.select(
-        F.concat(F.encode("header", "UTF-8"), end, F.col("payload"), end, end).alias("record"), page("_id").alias("page_id"), "payload",
-        "payload_bytes", F.when(right, F.col("digest")).alias("payload_digest"), "record_type", page("_to").alias("refers_to"))
+        F.when(right, record).alias("record"), page("_id").alias("page_id"), F.when(right, F.col("payload")).alias("payload"),
+        F.when(right, F.col("payload_bytes")).alias("payload_bytes"), F.when(right, F.col("digest")).alias("payload_digest"),
+        "record_type", page("_to").alias("refers_to"))
+
+
+def lost(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record_type) of the records whose payload is gone or is not what its digest says."""
+    return read(spark, path).filter(F.col("payload_digest").isNull()).select("page_id", "record_type")
 
 
 def export(spark: SparkSession, path: str, target: str) -> None:
