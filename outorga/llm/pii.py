@@ -1,26 +1,48 @@
 """Surrogates for personal data and secrets.
 
 Entities are found by patterns and brought to a canonical form (digits of a number, lower case of an
-address). A surrogate is a keyed function of type and canonical form, so every mention of an entity, in
-whatever document and spelling, gets the same one; it has the type, format, script and, for names after a
-title, the gender of what it replaces. Surrogates of different entities must differ, and none may be an entity
-that the corpus holds: whoever collides draws again, the smallest of them excepted, until none does. Draws
-after the first are kept in a table of exceptions; texts without such entities are never moved.
-
-Defined results: null and texts without entities stay as they are; repeated documents get equal texts; an
-empty table gives an empty result. Extra columns pass through; n_chars, where there is one, is counted anew.
+address). A surrogate is a keyed function (HMAC with SHA-512) of type and canonical form, so every mention of an
+entity, in whatever document and spelling, gets the same one; it has the type, format, script and, for names after a
+title, the gender of what it replaces. The parts of a name are entities of their own: whoever shares a surname keeps
+sharing it. Surrogates of different entities must differ, and none may be an entity that the corpus holds: whoever
+collides draws again, the smallest of them excepted, until none does; every fourth draw of a name adds a syllable, so
+names don't run out. Draws after the first are kept in a table of exceptions; texts without such entities are
+never moved.
+
+The key is the session's setting ``spark.outorga.surrogate.key``. Where it is not set, the session draws a random one
+and keeps it: nobody can compute its surrogates again, and another session's differ.
+
+Defined results: null and texts without entities stay as they are; repeated documents get equal texts; of entities that
+tie for a surrogate the one of the earliest draw, then the smallest, keeps it; an empty table gives an empty result. A
+very long text is one row of one task. Extra columns pass through; n_chars, where there is one, is counted anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import secrets
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outorga.llm.common import once, packed, stored
 
-KEY = "outorga"
+KEY_SETTING = "spark.outorga.surrogate.key"
 ROUNDS = 30
+SYLLABLES = 3
+MORE_FROM = 4  # draws after which a name grows by a syllable
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the session: as set, or drawn once."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
 
 _HE = "Mr|Herr|Monsieur|Señor|Sr|Sir|Don"
 _SHE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|Lady|Doña"
@@ -87,9 +109,13 @@ def mentions(text: Column) -> Column:
         s["kind"].alias("kind"), _canonical(s["kind"], s["mention"]).alias("canon"), s["mention"].alias("mention"))).alias("found"), pieces.alias("pieces"))
 
 
-def _random(key: str, kind: Column, canon: Column, draw: Column) -> Column:
-    """128 hexadecimal characters."""
-    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, draw.cast("string")), 512)
+def _random(key: str, *message: Column) -> Column:
+    """128 hexadecimal characters: HMAC of the message under the key."""
+    given = key.encode()
+    given = (hashlib.sha512(given).digest() if len(given) > 128 else given).ljust(128, b"\0")
+    inner, outer = (F.lit(bytes(b ^ mask for b in given)) for mask in (0x36, 0x5C))
+    said = F.encode(F.concat_ws("\x1f", *message), "UTF-8")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, said), 512))), 512)
 
 
 def _at(bits: Column, i: Column, of: int) -> Column:
@@ -128,32 +154,42 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, v: a + v - F.when(v > 9, 9).otherwise(0))
 
 
-def _person(canon: Column, bits: Column, she: bool) -> Column:
-    """A name of as many parts in the same script; the first of two parts shows the gender."""
+def parts(kind: Column, canon: Column) -> Column:
+    """The entities of a mention (kind, canon): itself, or the parts of a name. The first of two parts is a kind apart,
+    which shows the gender."""
+    words = F.split(canon, " ")
+    named = F.transform(words, lambda w, i: F.struct(
+        F.concat(kind, F.when((i == 0) & (F.size(words) > 1), "-first").otherwise("-last")).alias("kind"), w.alias("canon")))
+    return F.when(kind.isin("he", "she"), named).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
 
-    def part(token: Column, first: Column) -> Column:
-        token_bits = F.sha2(F.concat(F.lit("she" if she else "he"), F.when(first, "f").otherwise("l"), token, bits), 512)
 
-        def spelled(script: str) -> Column:
-            consonants, vowels, he, ends = _SCRIPTS[script]
-            take = lambda s, i: F.substring(F.lit(s), _at(token_bits, F.lit(i), len(s)) + 1, F.lit(1))
-            body = F.concat(*[x for i in range(3) for x in (take(consonants, 2 * i), take(vowels, 2 * i + 1))])
-            ending = "".join(ends if she else he)
-            return F.initcap(F.when(first, F.concat(body, take(consonants, 7), take(ending, 8)) if she else F.concat(body, take(ending, 8)))
-                             .otherwise(F.concat(body, take(consonants, 9))))
+def _name_part(kind: Column, part: Column, bits: Column, draw: Column) -> Column:
+    """A part of a name in the same script, with the ending of its gender if it is a first name."""
+    she, first = kind.startswith("she"), kind.endswith("first")
 
-        return (F.when(token.rlike(r"\p{IsCyrillic}"), spelled("cyrillic")).when(token.rlike(r"\p{IsGreek}"), spelled("greek"))
-                .otherwise(spelled("latin")))
+    def spelled(script: str) -> Column:
+        consonants, vowels, he, ends = _SCRIPTS[script]
+        take = lambda s, i: F.substring(F.lit(s), _at(bits, i, len(s)) + 1, F.lit(1))
+        count = F.lit(SYLLABLES) + F.floor(draw / MORE_FROM).cast("int")
+        body = F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.concat(take(consonants, 2 * i), take(vowels, 2 * i + 1))), "")
+        last = F.lit(0)
+        ending = F.when(first & she, F.concat(take(consonants, last), take("".join(ends), last + 1))).when(
+            first, take("".join(he), last)).otherwise(take(consonants, last))
+        return F.initcap(F.concat(body, ending))
 
-    tokens = F.split(canon, " ")
-    return F.array_join(F.transform(tokens, lambda t, i: part(t, (i == 0) & (F.size(tokens) > 1))), " ")
+    return (F.when(part.rlike(r"\p{IsCyrillic}"), spelled("cyrillic")).when(part.rlike(r"\p{IsGreek}"), spelled("greek"))
+            .otherwise(spelled("latin")))
 
 
 def surrogate(key: str, kind: Column, canon: Column, draw: Column) -> Column:
-    """Canonical surrogate of a canonical entity."""
-    bits = _random(key, kind, canon, draw)
-    # parts of a name are replaced each on its own, so that a surname alone is still that person's
-    name_bits = F.sha2(F.concat_ws("\x1f", F.lit(key), draw.cast("string")), 256)
+    """Canonical surrogate of a canonical entity; of a name those of its parts, all of one draw."""
+    whole = kind.isin("he", "she")
+    each = F.transform(parts(kind, canon), lambda p: _surrogate(key, p["kind"], p["canon"], draw))
+    return F.when(whole, F.array_join(each, " ")).otherwise(_surrogate(key, kind, canon, draw))
+
+
+def _surrogate(key: str, kind: Column, canon: Column, draw: Column) -> Column:
+    bits = _random(key, kind, canon, draw.cast("string"))
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (1 + _at(bits, i, 223)).cast("string")), ".")
     digits = _spelled(canon, bits, "0")
     first = F.concat(F.left(canon, F.lit(1)), F.substring(digits, F.lit(2), F.length(canon)))
@@ -170,7 +206,7 @@ def surrogate(key: str, kind: Column, canon: Column, draw: Column) -> Column:
         F.when(kind == "ip", octets).when(kind == "card", card).when(kind == "phone", phone).when(kind == "number", digits)
         .when(kind == "email", email).when(kind.isin("key", "iban"), F.concat(prefix, _spelled(rest, bits, "aA0")))
         .when(kind == "secret", _spelled(canon, bits, "h"))
-        .when(kind == "she", _person(canon, name_bits, True)).otherwise(_person(canon, name_bits, False)))
+        .otherwise(_name_part(kind, canon, bits, draw)))
 
 
 def rendered(kind: Column, mention: Column, instead: Column) -> Column:
@@ -190,7 +226,7 @@ def rendered(kind: Column, mention: Column, instead: Column) -> Column:
             .when(kind.isin("email", "secret") & upper, F.upper(instead)).otherwise(instead))
 
 
-def exceptions(entities: DataFrame, draws=lambda kind, canon, draw: surrogate(KEY, kind, canon, draw), rounds: int = ROUNDS) -> DataFrame:
+def exceptions(entities: DataFrame, draws: Callable[[Column, Column, Column], Column], rounds: int = ROUNDS) -> DataFrame:
     """Entities (kind, canon) that must not take their first draw: (kind, canon, draw).
 
     In each round those draw again whose surrogate is a real entity or also that of another entity which is
@@ -221,15 +257,22 @@ def _found(documents: DataFrame) -> DataFrame:
     return once(packed(documents, F.col("text").alias("_text")), "_m", F.when(text.rlike(HINT), mentions(text)))
 
 
-def replaced(documents: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents as ``_row`` with new text in ``text``, their ``found`` mentions and whether they changed."""
-    draws = lambda kind, canon, draw: surrogate(key, kind, canon, draw)
+def _mentioned(rows: DataFrame, *columns: Column) -> DataFrame:
+    """(columns, kind, canon) of every entity mentioned."""
+    found = rows.select(*columns, F.explode("_m.found").alias("f"))
+    return found.select(*[c for c in found.columns if c != "f"], F.inline(parts(F.col("f.kind"), F.col("f.canon"))))
+
+
+def replaced(documents: DataFrame, key: str | None = None) -> DataFrame:
+    """The documents as ``_row`` with new text in ``text``, and their ``found`` mentions."""
+    key = session_key(documents.sparkSession) if key is None else key
+    draws = lambda kind, canon, draw: _surrogate(key, kind, canon, draw)
     rows = _found(documents)
-    listed = rows.select(F.explode("_m.found").alias("f")).select("f.kind", "f.canon").distinct()
+    listed = _mentioned(rows).distinct()
     moved = stored(exceptions(stored(listed), draws))
     some = not moved.isEmpty()
     if some:  # the draws of those documents that name such an entity, under the digest of the text
-        named = rows.select(F.md5("_text").alias("_d"), F.explode("_m.found").alias("f")).select("_d", "f.kind", "f.canon")
+        named = _mentioned(rows, F.md5("_text").alias("_d"))
         named = named.join(moved, ["kind", "canon"]).groupBy("_d").agg(F.collect_set(F.struct("kind", "canon", "draw")).alias("_draws"))
         rows = rows.withColumn("_key", F.md5("_text")).join(stored(named), F.col("_key") == F.col("_d"), "left").drop("_key", "_d")
 
@@ -238,14 +281,17 @@ def replaced(documents: DataFrame, key: str = KEY) -> DataFrame:
             return F.lit(0)
         return F.coalesce(F.get(F.filter("_draws", lambda d: (d["kind"] == f["kind"]) & (d["canon"] == f["canon"])), F.lit(0))["draw"], F.lit(0))
 
-    new = once(rows, "_new", F.transform("_m.found", lambda f: F.struct(f["kind"].alias("kind"), f["mention"].alias("mention"), draws(f["kind"], f["canon"], draw_of(f)).alias("instead"))))
+    def instead(f: Column) -> Column:
+        return F.array_join(F.transform(parts(f["kind"], f["canon"]), lambda p: draws(p["kind"], p["canon"], draw_of(p))), " ")
+
+    new = once(rows, "_new", F.transform("_m.found", lambda f: F.struct(f["kind"].alias("kind"), f["mention"].alias("mention"), instead(f).alias("instead"))))
     new = once(new, "_said", F.transform("_new", lambda f: rendered(f["kind"], f["mention"], f["instead"])))
     joined = F.array_join(F.flatten(F.zip_with("_m.pieces", "_said", lambda p, s: F.array(p, F.coalesce(s, F.lit(""))))), "")
     n = F.coalesce(F.size("_m.found"), F.lit(0))
     return new.select("_row", F.when(n > 0, joined).otherwise(F.col("_text")).alias("text"), F.coalesce("_m.found", F.array().cast("array<struct<kind:string,canon:string,mention:string>>")).alias("found"))
 
 
-def pseudonymised(documents: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymised(documents: DataFrame, key: str | None = None) -> DataFrame:
     """The documents, with their own columns, after replacement."""
     rows = replaced(documents, key)
     row = F.col("_row").withField("text", F.col("text"))
