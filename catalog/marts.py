@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalog.registry import Inputs, query
@@ -15,7 +16,7 @@ from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
 from outorga.operators.joins import bad_suffix_date, keep_known
 from outorga.operators.tables import union_all
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
-from outorga.risk import features, model, text
+from outorga.risk import components, features, kmeans, linear, model, text
 from outorga.schemas import CONTRACTS, MART_SCHEMAS, REFERENCES
 from outorga.session import cut_lineage, spread
 from outorga.sinks import targets
@@ -232,17 +233,69 @@ def _(i: Inputs):
     return terms.select("term", stems(F.array("term"), plural)[0].alias("stem"))
 
 
-@query("m3_tf_idf", f"""
-with words as (select doc_id, unnest({_TOKENS}) term from documents), terms as (select distinct term from words), {stem_ctes('terms')},
+_WEIGHTS = f"""
+words as (select doc_id, unnest({_TOKENS}) term from documents), terms as (select distinct term from words), {stem_ctes('terms')},
 tf as (select doc_id, stem term, count(*) tf from words join stemmed using (term) where length(stem) > 1 group by 1, 2),
 df as (select term, count(*) df from tf group by 1),
-w as (select doc_id, term, tf, df, tf * (ln((1.0 + (select count(*) from documents)) / (1.0 + df)) + 1) w from tf join df using (term))
+w as (select doc_id, term, tf, df, tf * (ln((1.0 + (select count(*) from documents)) / (1.0 + df)) + 1) w from tf join df using (term))"""
+
+
+@query("m3_tf_idf", f"""
+with {_WEIGHTS.strip()}
 select doc_id, term, tf, df, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) weight from w""")
 def _(i: Inputs):
     weights = text.tf_idf(spread(i.documents), "doc_id", "text", STOP_WORDS)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+_GIVEN = f"""
+with {_WEIGHTS.strip()},
+x as (select doc_id, term, cast(round(1000000 * (w / sqrt(sum(w * w) over (partition by doc_id)))) as bigint) x from w),
+given as (select doc_id, row_number() over (order by doc_id) - 1 cluster from (select distinct doc_id from x where x <> 0) qualify cluster < 5),
+c as (select cluster, term, x c from x join given using (doc_id)),
+n as (select cluster, sum(c * c) n from c group by 1), xx as (select doc_id, sum(x * x) xx from x where x <> 0 group by 1),
+dots as (select x.doc_id, cluster, sum(x * c) d from x join c using (term) group by 1, 2),
+far as (select doc_id, n.cluster, cast(xx - 2 * coalesce(d, 0) + n as bigint) far from xx join n on true left join dots using (doc_id, cluster)),
+near as (select doc_id, cluster from far qualify row_number() over (partition by doc_id order by far, cluster) = 1)"""
+
+
+def _given_points(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Points of the documents, and as centres those of the five smallest doc_ids."""
+    points = cut_lineage(kmeans.points(text.tf_idf(spread(i.documents), "doc_id", "text", STOP_WORDS), "doc_id", "term", "weight"))
+    given = points.select("key").distinct().orderBy("key").limit(5).select("key", (F.row_number().over(W.orderBy("key")) - 1).alias("cluster"))
+    return points, cut_lineage(kmeans.centres_of(points, given, 5))
+
+
+@query("m4_given_distances", _GIVEN + """
+select doc_id, near.cluster::int cluster, max(far) filter (far.cluster = 0) distance_0, max(far) filter (far.cluster = 1) distance_1,
+  max(far) filter (far.cluster = 2) distance_2, max(far) filter (far.cluster = 3) distance_3, max(far) filter (far.cluster = 4) distance_4
+from far join near using (doc_id) group by 1, 2""")
+def _(i: Inputs):
+    points, centres = _given_points(i)
+    far = kmeans.squared_distances(points, centres, 5)
+    return far.select(
+        F.col("key").alias("doc_id"), kmeans.nearest(F.col("distances")).alias("cluster"),
+        *[F.col("distances")[j].alias(f"distance_{j}") for j in range(5)])
+
+
+@query("m4_lloyd_step", _GIVEN + """
+, sums as (select cluster, term, sum(x) s from x join near using (doc_id) group by 1, 2), sizes as (select cluster, count(*) k from near group by 1)
+select * from (select cluster::int cluster, term, cast((2 * s + k) // (2 * k) as bigint) c from sums join sizes using (cluster)
+union all select cluster::int, term, c from c where cluster not in (select cluster from near)) where c <> 0""")
+def _(i: Inputs):
+    points, centres = _given_points(i)
+    moved = kmeans.step(points, centres, 5)
+    return moved.select(F.col("column").alias("term"), F.posexplode("c").alias("cluster", "c")).where("c <> 0")
+
+
+@query("m4_reproducible_clusters")
+def _(i: Inputs):
+    """Clusters from seeds of its own; the same whatever the partitions."""
+    weights = text.tf_idf(spread(i.documents), "doc_id", "text", STOP_WORDS)
+    points = cut_lineage(kmeans.points(weights, "doc_id", "term", "weight"))
+    return kmeans.assigned(points, kmeans.fit(points, 5, steps=5), 5).select(F.col("key").alias("doc_id"), "cluster")
+
+
 def _clusterer() -> text.TextClusterer:
     return text.TextClusterer(k=5, seed=0, width=2**12, stop_words=STOP_WORDS)
 
@@ -325,6 +378,72 @@ def _(i: Inputs):
     return encoded.select("NR_CONVENIO", F.transform(vector_to_array("encoded"), lambda v: F.round(v, 6)).alias("encoded"))
 
 
+_SCALED = ", ".join(f"avg({c}) mean_{c}, stddev_samp({c}) dev_{c}" for c in features.NUMBERS)
+_CELLS = "\nunion all ".join([
+    f"select r, NR_CONVENIO, '{linear.BIAS}' col, 1.0::double as value from f",
+    *[f"select r, NR_CONVENIO, '{c}', coalesce(({c} - mean_{c}) / coalesce(nullif(dev_{c}, 0), 1), 0) from f, known" for c in features.NUMBERS],
+    *[f"select r, NR_CONVENIO, '{c}?', ({c} is null)::int::double from f" for c in features.NUMBERS],
+    *[f"select r, NR_CONVENIO, '{c}=' || coalesce({c}::varchar, ''), 1 from f" for c in linear.CLOSED],
+    *[f"select r, NR_CONVENIO, '{c}#' || substr(md5('{c}=' || coalesce({c}::varchar, '')), 1, 3), 1 from f" for c in linear.OPEN]])
+_HEX = " + ".join(f"(instr('0123456789abcdef', substr(md5(col), {n}, 1)) - 1) * {16 ** (2 - n)}" for n in (1, 2))
+_LONG = f"""
+with f as materialized (select row_number() over () r, * from ({SQL['m5_features']})), known as (select {_SCALED} from f),
+cells as (select * from ({_CELLS}) where value <> 0),
+scored as (select r, 1 / (1 + exp(-sum(value * (({_HEX}) / 256.0 - 0.5)))) p from cells group by r)"""
+
+
+def _long(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Frame of all grants, its long features, and a given weight for each of their columns."""
+    tables = mart(i)
+    frame = features.feature_frame(tables["convenios"], tables, label=True)
+    frame = cut_lineage(frame.withColumn("r", F.monotonically_increasing_id()))
+    cells = linear.long_features(frame, "r", linear.statistics(frame))
+    weights = cells.select("column").distinct().withColumn("weight", F.expr(f"({_HEX.replace('col', '`column`')}) / 256.0D - 0.5D"))
+    return frame, cells, weights
+
+
+@query("m6_long_features", f'{_LONG} select NR_CONVENIO, col "column", round(value, 6) as value from cells')
+def _(i: Inputs):
+    frame, cells, _ = _long(i)
+    named = cells.join(frame.select("r", "NR_CONVENIO"), F.col("row") == F.col("r"))
+    return named.select("NR_CONVENIO", "column", F.round("value", 6).alias("value"))
+
+
+@query("m8_linear_scores", f"""{_LONG}
+select NR_CONVENIO, LABEL, (p > 0.5)::int::double PREDITO, round(p, 9) PROBABILIDADE from f join scored using (r)""")
+def _(i: Inputs):
+    frame, cells, weights = _long(i)
+    labelled = linear.predicted(frame, "r", cells, weights, name="PREDITO")
+    return linear.predicted(labelled, "r", cells, weights, proba=True, name="PROBABILIDADE").select(
+        "NR_CONVENIO", "LABEL", "PREDITO", F.round("PROBABILIDADE", 9).alias("PROBABILIDADE"))
+
+
+@query("m10_linear_appended", f"""{_LONG}
+select f.* exclude (r, LABEL), round(1 / (1 + exp(-2 * (p - 0.5))), 9) INSUCESSO from f join scored using (r)""")
+def _(i: Inputs):
+    frame, cells, weights = _long(i)
+    return linear.predicted(frame, "r", cells, weights, proba=True, scale=True).drop("r", "LABEL").withColumn("INSUCESSO", F.round("INSUCESSO", 9))
+
+
+@query("m7_subspace", """
+select 'orthonormal' "check", true ok union all select 'falling variances', true union all select 'share of the variance', true
+union all select 'variances are those of the coordinates', true""")
+def _(i: Inputs):
+    """Principal components of the orders, checked."""
+    k, orders = 4, cut_lineage(i.orders.withColumn("r", F.monotonically_increasing_id()))
+    scale = linear.statistics(orders, ["o_totalprice"])
+    cells = cut_lineage(linear.long_features(orders, "r", scale, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"], ["o_custkey"], digits=2))
+    directions, variances, total = components.principal_components(cells, k)
+    products = components._products(directions, k)
+    y = components.projected(cells, directions, k).agg(*[F.var_pop(F.col("y")[j]) for j in range(k)]).first()
+    right = [
+        ("orthonormal", all(abs(products[a, b] - (a == b)) < 1e-6 for a in range(k) for b in range(k))),
+        ("falling variances", all(a >= b > 0 for a, b in zip(variances, variances[1:]))),
+        ("share of the variance", 0 < sum(variances) <= total * (1 + 1e-9)),
+        ("variances are those of the coordinates", all(abs(a - b) < 1e-6 * max(a, 1) for a, b in zip(variances, y)))]
+    return i.spark.createDataFrame([(name, bool(ok)) for name, ok in right], "check string, ok boolean")
+
+
 @query("m7_components")
 def _(i: Inputs):
     _, frame, fitted = _fitted(i)

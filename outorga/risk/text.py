@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
+from outorga.operators.keys import dense_ids
+from outorga.session import cut_lineage
 
 
 def vocabulary_stems(docs: DataFrame, text: str, stop_words: list[str] | None = None) -> DataFrame:
@@ -19,25 +22,49 @@ def vocabulary_stems(docs: DataFrame, text: str, stop_words: list[str] | None =
     return terms.select("term", stems(F.array("term"))[0].alias("stem"))
 
 
+class TermTable(NamedTuple):
+    """Documents as numbers: ``vocabulary`` (number, term) of stems, ``counts`` (key, number, tf)."""
+
+    vocabulary: DataFrame
+    counts: DataFrame
+
+
+def term_table(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> TermTable:
+    """Tokenise once, stem each distinct word once, number the stems of two letters or more. Both tables are written to
+    the shared folder, where counts, weights and clusters read them; words repeated in a document fold before
+    anything is shuffled."""
+    words = docs.select(key, F.explode(tokens(F.col(text), stop_words)).alias("word"))
+    words = cut_lineage(words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf")))
+    stemmed = cut_lineage(words.select("word").distinct().select("word", stems(F.array("word"))[0].alias("term")).where(F.length("term") > 1))
+    vocabulary = cut_lineage(dense_ids(stemmed.select("term").distinct(), "number", ["term"], unique=True))
+    numbers = stemmed.join(vocabulary, "term").select("word", "number")
+    counts = words.join(numbers, "word").groupBy(key, "number").agg(F.sum("tf").alias("tf"))
+    return TermTable(vocabulary, cut_lineage(counts))
+
+
 def term_counts(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
     """(key, term, tf) over stems of two letters or more."""
-    terms = docs.select(key, F.explode(stems(tokens(F.col(text), stop_words))).alias("term"))
-    return terms.where(F.length("term") > 1).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    table = term_table(docs, key, text, stop_words)
+    return table.counts.join(table.vocabulary, "number").select(key, "term", "tf")
 
 
-def tf_idf(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
-    """(key, term, tf, df, weight): smoothed idf plus one, each document scaled to unit length.
-
-    A term that is in every document makes its join key hot; both joins are plain equi-joins, which
-    adaptive execution broadcasts or splits."""
-    counts = term_counts(docs, key, text, stop_words)
-    document_total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.ln((document_total + 1) / (F.col("df") + 1)) + 1
-    weighted = counts.join(frequencies, "term").withColumn("w", F.col("tf") * idf)
+def term_weights(counts: DataFrame, key: str, document_total: int) -> DataFrame:
+    """(key, number, tf, df, weight): smoothed idf plus one, each document scaled to unit length.
+
+    A term that is in every document makes its join key hot; the joins are plain equi-joins, which adaptive
+    execution broadcasts or splits."""
+    frequencies = counts.groupBy("number").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.ln((F.lit(document_total) + 1) / (F.col("df") + 1)) + 1
+    weighted = counts.join(frequencies, "number").withColumn("w", F.col("tf") * idf)
     lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return weighted.join(lengths, key).select(
-        key, "term", "tf", "df", (F.col("w") / F.col("len")).alias("weight"))
+    return weighted.join(lengths, key).select(key, "number", "tf", "df", (F.col("w") / F.col("len")).alias("weight"))
+
+
+def tf_idf(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
+    """(key, term, tf, df, weight) of each document's stems."""
+    table = term_table(docs, key, text, stop_words)
+    weights = term_weights(table.counts, key, docs.count())
+    return weights.join(table.vocabulary, "number").select(key, "term", "tf", "df", "weight")
 
 
 @dataclass
