@@ -340,11 +340,12 @@ def _(i: Inputs):
 
 from catalog.registry import SQL  # noqa: E402
 
-SQL["m5_features"] = _after_ctes(_WINNERS + f"""
+_FEATURES = f"""
 select NR_CONVENIO, cast(VL_REPASSE_CONV as double) VL_REPASSE_CONV, cast(VL_CONTRAPARTIDA_CONV as double) VL_CONTRAPARTIDA_CONV,
   cast(VALOR_EMENDA_CONVENIO as double) VALOR_EMENDA_CONVENIO, COD_ORGAO, COD_ORGAO_SUP, CODIGO_IBGE, {_FILL},
   case when SIT_CONVENIO in ({quoted(s.upper() for s in fixed.FAILED_STATUSES)}) then 1 else 0 end LABEL
-from m_convenios join m_proponentes using (IDENTIF_PROPONENTE) left join politician using (NR_CONVENIO) left join supplier_ using (NR_CONVENIO)""")
+from m_convenios join m_proponentes using (IDENTIF_PROPONENTE) left join politician using (NR_CONVENIO) left join supplier_ using (NR_CONVENIO)"""
+SQL["m5_features"] = _after_ctes(_WINNERS + _FEATURES)
 
 
 def _fitted(i: Inputs):
@@ -386,8 +387,8 @@ _CELLS = "\nunion all ".join([
     *[f"select r, NR_CONVENIO, '{c}=' || coalesce({c}::varchar, ''), 1 from f" for c in linear.CLOSED],
     *[f"select r, NR_CONVENIO, '{c}#' || substr(md5('{c}=' || coalesce({c}::varchar, '')), 1, 3), 1 from f" for c in linear.OPEN]])
 _HEX = " + ".join(f"(instr('0123456789abcdef', substr(md5(col), {n}, 1)) - 1) * {16 ** (2 - n)}" for n in (1, 2))
-_LONG = f"""
-with f as materialized (select row_number() over () r, * from ({SQL['m5_features']})), known as (select {_SCALED} from f),
+_LONG = f"""{_WINNERS},
+f as materialized (select row_number() over () r, * from ({_FEATURES})), known as (select {_SCALED} from f),
 cells as (select * from ({_CELLS}) where value <> 0),
 scored as (select r, 1 / (1 + exp(-sum(value * (({_HEX}) / 256.0 - 0.5)))) p from cells group by r)"""
 
@@ -402,15 +403,21 @@ def _long(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     return frame, cells, weights
 
 
-@query("m6_long_features", f'{_LONG} select NR_CONVENIO, col "column", round(value, 6) as value from cells')
+SQL["m6_long_features"] = _after_ctes(f'{_LONG} select NR_CONVENIO, col "column", round(value, 6) as value from cells')
+SQL["m8_linear_scores"] = _after_ctes(f"""{_LONG}
+select NR_CONVENIO, LABEL, (p > 0.5)::int::double PREDITO, round(p, 9) PROBABILIDADE from f join scored using (r)""")
+SQL["m10_linear_appended"] = _after_ctes(f"""{_LONG}
+select f.* exclude (r, LABEL), round(1 / (1 + exp(-2 * (p - 0.5))), 9) INSUCESSO from f join scored using (r)""")
+
+
+@query("m6_long_features")
 def _(i: Inputs):
     frame, cells, _ = _long(i)
     named = cells.join(frame.select("r", "NR_CONVENIO"), F.col("row") == F.col("r"))
     return named.select("NR_CONVENIO", "column", F.round("value", 6).alias("value"))
 
 
-@query("m8_linear_scores", f"""{_LONG}
-select NR_CONVENIO, LABEL, (p > 0.5)::int::double PREDITO, round(p, 9) PROBABILIDADE from f join scored using (r)""")
+@query("m8_linear_scores")
 def _(i: Inputs):
     frame, cells, weights = _long(i)
     labelled = linear.predicted(frame, "r", cells, weights, name="PREDITO")
@@ -418,8 +425,7 @@ def _(i: Inputs):
         "NR_CONVENIO", "LABEL", "PREDITO", F.round("PROBABILIDADE", 9).alias("PROBABILIDADE"))
 
 
-@query("m10_linear_appended", f"""{_LONG}
-select f.* exclude (r, LABEL), round(1 / (1 + exp(-2 * (p - 0.5))), 9) INSUCESSO from f join scored using (r)""")
+@query("m10_linear_appended")
 def _(i: Inputs):
     frame, cells, weights = _long(i)
     return linear.predicted(frame, "r", cells, weights, proba=True, scale=True).drop("r", "LABEL").withColumn("INSUCESSO", F.round("INSUCESSO", 9))
