@@ -14,7 +14,7 @@ from outorga import contracts, fixed
 from outorga.fixed.rules import suffix_rules
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
 from outorga.operators.joins import bad_suffix_date, keep_known
-from outorga.operators.tables import union_all
+from outorga.operators.tables import append_member, union_all
 from outorga.plans import derived, geography, grants, ledger, procurements, suppliers
 from outorga.risk import components, features, kmeans, linear, model, text
 from outorga.schemas import CONTRACTS, MART_SCHEMAS, REFERENCES
@@ -55,10 +55,18 @@ def supplier_dimension(i: Inputs, stage, grants_: DataFrame) -> DataFrame:
     return cut_lineage(suppliers.fornecedores(stage, grants_))
 
 
+def dates(stage) -> DataFrame:
+    """Grants for the ledger."""
+    return cut_lineage(grants.dated_grants(stage).select("NR_CONVENIO", "VL_GLOBAL_CONV", "DIA_ASSIN_CONV", "DIA_INIC_VIGENC_CONV", "DIA_FIM_VIGENC_CONV"))
+
+
 def moves(i: Inputs) -> DataFrame:
+    """The ledger for those who don't look at suppliers: their names decide which payments are in it, so they need no ids."""
     stage = i.staged()
-    grants_ = fact(i, stage)
-    return ledger.movements(stage, grants_, supplier_dimension(i, stage, grants_))
+    grants_ = dates(stage)
+    names = suppliers.paid_suppliers(stage, grants_).select(F.lit(0).cast("long").alias("FORNECEDOR_ID"), *suppliers.NAMES)
+    names = append_member(names, FORNECEDOR_ID=fixed.NO_MEMBER_ID, IDENTIF_FORNECEDOR=fixed.NO_MEMBER, NOME_FORNECEDOR=fixed.NO_MEMBER)
+    return ledger.movements(stage, grants_, names)
 
 
 def mart(i: Inputs) -> dict[str, DataFrame]:
@@ -116,13 +124,13 @@ def _(i: Inputs):
 @query("t8_fornecedores", mart_select("fornecedores"))
 def _(i: Inputs):
     stage = i.staged()
-    return suppliers.fornecedores(stage, fact(i, stage))
+    return suppliers.fornecedores(stage, grants.known_grants(stage))
 
 
 @query("t9_movimento", mart_select("movimento"))
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = fact(i, stage)
+    grants_ = dates(stage)
     return ledger.movimento(stage, grants_, supplier_dimension(i, stage, grants_))
 
 
@@ -152,7 +160,7 @@ _LEG = "select NR_CONVENIO, DATA_MOV, cast(VALOR_MOV as double) VALOR_MOV, TIPO_
 
 @query("l1_l3_milestones", _LEG + "x_leg_aif")
 def _(i: Inputs):
-    return ledger.milestone_legs(fact(i))
+    return ledger.milestone_legs(dates(i.staged()))
 
 
 @query("l4_disbursements", _LEG + "x_leg_d")
@@ -173,13 +181,13 @@ def _(i: Inputs):
 @query("l6_payments", _LEG + "x_leg_p")
 def _(i: Inputs):
     stage = i.staged()
-    return ledger.payment_leg(stage["pagamentos"], supplier_dimension(i, stage, fact(i, stage)))
+    return ledger.payment_leg(stage["pagamentos"], supplier_dimension(i, stage, grants.known_grants(stage)))
 
 
 @query("l7_taxes", _LEG + "x_leg_t")
 def _(i: Inputs):
     stage = i.staged()
-    grants_ = fact(i, stage)
+    grants_ = dates(stage)
     payments = ledger.payment_leg(stage["pagamentos"], supplier_dimension(i, stage, grants_))
     return ledger.tax_leg(stage["tributos"], payments, grants_)
 

@@ -433,10 +433,8 @@ def _(i: Inputs):
 @query("j8_composite_key", """
 select NR_CONVENIO, IDENTIF_FORNECEDOR, NOME_FORNECEDOR, VL_PAGO from s_pagamentos join x_suppliers using (IDENTIF_FORNECEDOR, NOME_FORNECEDOR)""")
 def _(i: Inputs):
-    from catalog.marts import fact
-
     stage = i.staged()
-    names = suppliers.paid_suppliers(stage, fact(i, stage))
+    names = suppliers.paid_suppliers(stage, grants.known_grants(stage))
     return stage["pagamentos"].join(names, ["IDENTIF_FORNECEDOR", "NOME_FORNECEDOR"]).select(
         "NR_CONVENIO", "IDENTIF_FORNECEDOR", "NOME_FORNECEDOR", "VL_PAGO")
 
@@ -585,11 +583,12 @@ select NR_CONVENIO, max(NOME_PARLAMENTAR) PRINCIPAL_PARLAMENTAR
 from (select *, rank() over (partition by NR_CONVENIO order by VALOR_REPASSE_EMENDA desc) r from m_emendas_convenios where VALOR_REPASSE_EMENDA is not null)
 join m_emendas using (NR_EMENDA) where r = 1 group by 1""")
 def _(i: Inputs):
-    from catalog.marts import amendments, bridge
+    from catalog.marts import transfers
     from outorga.risk.features import principal_politician
+    from outorga.session import cut_lineage
 
-    stage = i.staged()
-    return principal_politician(bridge(stage), amendments(stage))
+    lines = cut_lineage(transfers(i.staged()))
+    return principal_politician(grants.emendas_convenios(lines), grants.emendas(lines))
 
 
 @query("w3_principal_supplier", """

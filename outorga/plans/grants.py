@@ -18,6 +18,11 @@ def shared_grants(stage: dict[str, DataFrame]) -> DataFrame:
     return granted_proposals(stage, list(dict.fromkeys(["ID_PROPOSTA", *FACT_COLUMNS])))
 
 
+def known_grants(stage: dict[str, DataFrame]) -> DataFrame:
+    """NR_CONVENIO of every grant of the fact, for those who only ask whether a grant is known."""
+    return granted_proposals(stage, ["NR_CONVENIO"]).select(F.col("NR_CONVENIO").try_cast("long").alias("NR_CONVENIO")).distinct()
+
+
 def proponentes(stage: dict[str, DataFrame]) -> DataFrame:
     """Proponents that hold a grant, with the municipality of each proposal. Only whether a
     proposal has a grant matters, so grants come in as a semi-join."""
@@ -83,3 +88,9 @@ def convenios(stage: dict[str, DataFrame], bridge: DataFrame, granted: DataFrame
         "INSUCESSO": F.lit(0.0),
     })
     return conform(fact, MART_SCHEMAS["convenios"])
+
+
+def dated_grants(stage: dict[str, DataFrame]) -> DataFrame:
+    """The fact as far as the ledger needs it: without amendments, which the ledger never looks at."""
+    spark = stage["convenios"].sparkSession
+    return convenios(stage, spark.createDataFrame([], MART_SCHEMAS["emendas_convenios"]))

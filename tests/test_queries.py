@@ -10,8 +10,8 @@ import pytest
 import __spark_entry__ as entry
 
 SMALL = "/root/testdata/sf0.001"
-HEAVY = re.compile(r"^(t9|t11|t13|u3|j8|l[67]|m[5-8]|m1[01]|m4|v_mart)")
-LIGHT = [name for name in entry.oracle_sql() if not HEAVY.match(name)]
+HEAVY = re.compile(r"^(t9|t11|t13|u3|j8|l[67]|m[5-8]_|m10|m4|v_mart)")
+LIGHT = [name for name in entry.oracle_sql() if not HEAVY.match(name) and not re.match(r"op\d+_|pipeline", name)]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables are not here")
 
