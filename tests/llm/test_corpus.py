@@ -471,7 +471,7 @@ def test_pattern_plan_uses_the_histogram_exactly():
     for median in (12, 55, 1500):
         lengths = np.exp(rng.normal(np.log(median), 1, 20_000)).astype(int).clip(1, 4096)
         counts = np.bincount(lengths, minlength=4097)
-        assert total(counts, 64) <= 1.01 * bound(counts) + 1, median
+        assert total(counts, 8) <= 1.01 * bound(counts) + 1, median
     for length, n, least in ((600, 100_000, 16_667), (800, 1000, 200), (1368, 1000, 500), (1, 100_000, 25), (4096, 7, 7), (2049, 10, 10), (600, 0, 0)):
         assert total(np.bincount([length] * n, minlength=4097), 8) == least
 
