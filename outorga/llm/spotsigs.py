@@ -62,9 +62,9 @@ def with_spots(df: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard likeness of two sets."""
-    both = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
+    sizes = F.size(a) + F.size(b)
+    both = F.array(F.size(F.array_intersect(a, b)))  # in an array, so that it is worked out once
+    return F.when(sizes == 0, F.lit(1.0)).otherwise(F.get(F.transform(both, lambda n: n / (sizes - n)), F.lit(0)))
 
 
 def written(spots: Column) -> Column:
