@@ -36,7 +36,7 @@ from outorga.operators.keys import dense_ids
 
 LEAST, TOP, LONGEST = 30, 2000, 4
 #: Words of a block, entries of a container before it bursts, entries of a trie before it spills.
-BLOCK, CAPACITY, BUDGET = 6 << 20, 1 << 14, 1 << 20
+BLOCK, CAPACITY, BUDGET = 6 << 20, 1 << 14, 1 << 19
 #: Keys that are put into a trie, bytes of text that are cut into words, and rows of a run at a time.
 CHUNK, SLICE, ROWS = 1 << 18, 1 << 20, 1 << 16
 #: A-Z in lower case, ends of pieces as a full stop, tab as a space.
