@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -167,7 +168,9 @@ def _pair_sums(table: pa.Table) -> pa.Table:
     p = np.tile(zero, (seen, 1))
     p[term, source[cell]] = held.column("p").to_numpy()
     first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-    left, right = np.flatnonzero(tile == first), np.flatnonzero(tile == second)
+    # by name, so that a pair has one direction in every block, in whatever order the rows arrive
+    by_name = pc.sort_indices(names).to_numpy()
+    left, right = by_name[tile[by_name] == first], by_name[tile[by_name] == second]
     out = []
     for k, i in enumerate(left):
         others = right[right != i] if first != second else left[k + 1 :]

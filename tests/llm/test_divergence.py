@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -82,3 +83,33 @@ def test_tally_folds_and_empties(monkeypatch):
     cells = {names[r["digest"]]: (r["n"], r["docs"]) for r in rows if r["n"]}
     assert cells == {"a": (10, 2), "b": (2, 2), "c": (2, 2)} and list(tally.rows()) == []
     assert {r["digest"] for r in rows if r["term"]} == {xxhash.xxh64_intdigest(t) - ((xxhash.xxh64_intdigest(t) >> 63) << 64) for t in (b"a", b"b", b"c")}
+
+
+def test_pairs_have_one_direction_in_every_block():
+    """Rows of a block arrive in any order: partial sums of a pair must not fall under (a, b) here and (b, a) there."""
+    rows = [("en", s, 0, p0, d, None, p, 0, 0, 0) for s, p0 in (("s1", 1), ("s2", 2), ("s3", 3)) for d, p in ((None, None), (7, 100 * p0), (8, 5))]
+    names = ["lang", "source", "tile", "p0", "digest", "split", "p", "first", "second", "block"]
+    kinds = dict.fromkeys(names, pa.int64()) | dict.fromkeys(["lang", "source", "split"], pa.string())
+    schema = pa.schema(list(kinds.items()))
+
+    def sums(rows):
+        return sorted(tuple(r.values()) for r in divergence._pair_sums(pa.table(list(zip(*rows)), schema=schema)).to_pylist())
+
+    want = sums(rows)
+    assert [r[1:3] for r in want] == [("s1", "s2"), ("s1", "s3"), ("s2", "s3")]
+    assert sums(rows[::-1]) == want and sums(rows[4:] + rows[:4]) == want
+
+
+def test_blocks_whose_rows_arrive_in_other_orders(spark, monkeypatch):
+    whole = divergence._pair_sums
+
+    def shuffled(table):
+        order = list(range(table.num_rows))
+        random.Random(table.column("block")[0].as_py()).shuffle(order)
+        return whole(table.take(order))
+
+    monkeypatch.setattr(divergence, "_pair_sums", shuffled)
+    rows = corpus()
+    table = spark.createDataFrame([(*r, 1, "t", 2) for r in rows], SCHEMA).repartition(6)
+    got = divergence.audit(table, least=4, top=5, block=5).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 4, 5)
