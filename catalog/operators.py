@@ -34,10 +34,10 @@ _BROKEN = "NOME_FORNECEDOR || chr(10) || chr(34) || coalesce(NR_MOV_FIN, '') ||
 
 @query("s1_quoted_ranges", f"select * replace ({_BROKEN} as NOME_FORNECEDOR) from v_pagamentos")
 def _(i: Inputs):
-    """One file whose quoted fields hold line breaks, quotes and separators, read in ranges of 64 KB."""
+    """Files whose quoted fields hold line breaks, quotes and separators, read in ranges of 64 KB."""
     folder = f"{i.scratch()}/pagamentos"
     rows = i.raw("pagamentos").withColumn("NOME_FORNECEDOR", F.expr(_BROKEN))
-    rows.coalesce(1).write.options(header=True, sep=";", quote='"', escape='"').csv(folder)
+    rows.write.options(header=True, sep=";", quote='"', escape='"').csv(folder)
     return read_ranges(i.spark, folder, STAGE_COLUMNS["pagamentos"], step=1 << 16)
 
 

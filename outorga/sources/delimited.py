@@ -3,8 +3,8 @@
 A byte range cannot tell whether it begins inside quotes, so it is scanned under both assumptions and yields two
 bits: the state it ends in if it began outside, and if it began inside. A window over the ranges of a file composes
 these bits in order, which gives each range its true state; then records are cut. A record belongs to the range in
-which it starts. Nothing but the ranges (one row for ``STEP`` bytes) is shuffled, and each task holds one range, so
-one file of any size is read by as many tasks as it has ranges.
+which it starts. Nothing but the ranges (one row each) is shuffled. A task holds one range at a time and gets some
+``STEP`` bytes of them, so a file of any size is read by many tasks, and small ranges don't cost a task each.
 
 A quote opens a field only at its start; elsewhere it is a character. Two quotes inside a quoted field are one.
 Records end with a line feed, with or without a carriage return. Empty lines are skipped, missing fields are null,
@@ -33,6 +33,8 @@ from outorga.functions.text import null_tokens
 from outorga.session import importable
 
 STEP = 64 << 20
+#: Ranges for each core that get a task of their own, however small they are.
+TASKS = 16
 #: Bytes of a zip member that are parsed at a time, and rows handed out at a time where Arrow cannot parse them.
 BLOCK, ROWS = 8 << 20, 20_000
 QUOTE = b'"'
@@ -177,7 +179,7 @@ def _texts(columns: list[str]) -> T.StructType:
 
 def byte_ranges(spark: SparkSession, path: str | list[str], sep: str = ";", step: int = STEP) -> DataFrame:
     """(path, length, first, last, inside, still): the ranges of each file, from one start of a line to another, and
-    whether these lie in quotes."""
+    whether these lie in quotes. Ranges smaller than ``STEP`` share tasks where there are more than ``TASKS`` for each core."""
     mark = sep.encode()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +198,8 @@ def byte_ranges(spark: SparkSession, path: str | list[str], sep: str = ";", step
     files = _listed(spark, path)
     cuts = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(step).cast("long"))).alias("start"))
     cuts = cuts.withColumn("end", F.least(F.col("start") + step, F.col("length")))
-    n = files.agg(F.sum(F.ceil(F.col("length") / step))).first()[0] or 1
+    ranges, work = files.agg(F.sum(F.ceil(F.col("length") / step)), F.sum(F.ceil(F.col("length") / max(step, STEP)))).first()
+    n = min(ranges or 1, max(work or 1, TASKS * spark.sparkContext.defaultParallelism))
     scanned = cuts.repartition(n).mapInArrow(scan, "path string, length long, start long, end long, first long, last long, from_out boolean, from_in boolean")
     # A range sets the state, swaps it or leaves it: the state is that of the last one that set it, and the swaps since.
     order = W.partitionBy("path").orderBy("start")
@@ -212,22 +215,25 @@ def byte_ranges(spark: SparkSession, path: str | list[str], sep: str = ";", step
 def read_ranges(
     spark: SparkSession, path: str | list[str], columns: list[str], sep: str = ";", encoding: str = "utf-8", step: int = STEP,
 ) -> DataFrame:
-    """Named columns of plain delimited files with a header, null tokens made null; ``step`` bytes are one task's work."""
+    """Named columns of plain delimited files with a header, null tokens made null; ``step`` bytes are held at a time."""
     mark = sep.encode()
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        header_of, head, header = None, 0, []
         for batch in batches:
             for r in batch.to_pylist():
                 with open_file(r["path"]) as file:
                     size = r["length"]
-                    head = _record_end(file, 0, size, mark, False)
+                    if header_of != r["path"]:
+                        header_of, header, head = r["path"], None, _record_end(file, 0, size, mark, False)
                     first = _record_end(file, r["first"], size, mark, True) if r["inside"] else r["first"]
                     end = _record_end(file, r["last"], size, mark, True) if r["still"] and r["last"] < size else r["last"]
                     first = max(first, head)
                     if first >= end:
                         continue
-                    file.seek(0)
-                    header = header_names(file.read(head), columns, sep, encoding, r["path"])
+                    if header is None:
+                        file.seek(0)
+                        header = header_names(file.read(head), columns, sep, encoding, r["path"])
                     file.seek(first)
                     text = file.read(end - first)
                 yield from parsed(text, header, columns, sep, encoding)

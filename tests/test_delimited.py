@@ -93,6 +93,18 @@ def test_one_file_in_many_ranges(spark, tmp_path, step):
         assert df.rdd.getNumPartitions() == ranges.count()
 
 
+def test_many_small_ranges_share_tasks(spark, tmp_path):
+    text, want = content(3, 2000)
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    ranges = delimited.byte_ranges(spark, str(tmp_path), step=301)
+    most = delimited.TASKS * spark.sparkContext.defaultParallelism
+    assert ranges.count() > 2 * most and ranges.rdd.getNumPartitions() == most
+    df = read_ranges(spark, str(tmp_path), ["two", "id"], step=301)
+    assert df.rdd.getNumPartitions() == most
+    assert rows(df) == ordered([*want, *want])
+
+
 def test_folders_widths_and_encodings(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x;y\n1;2;surplus\n3\n\n4;5")
     (tmp_path / "b.csv").write_text("y;other;x\r\n6;;7\r\n")
