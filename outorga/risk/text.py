@@ -9,6 +9,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outorga.functions.stems import ACCENTED, PLAIN, stems, tokens
@@ -29,42 +30,40 @@ class TermTable(NamedTuple):
     counts: DataFrame
 
 
-def term_table(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> TermTable:
-    """Tokenise once, stem each distinct word once, number the stems of two letters or more. Both tables are written to
-    the shared folder, where counts, weights and clusters read them; words repeated in a document fold before
-    anything is shuffled."""
-    words = docs.select(key, F.explode(tokens(F.col(text), stop_words)).alias("word"))
-    words = cut_lineage(words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf")))
-    stemmed = cut_lineage(words.select("word").distinct().select("word", stems(F.array("word"))[0].alias("term")).where(F.length("term") > 1))
-    vocabulary = cut_lineage(dense_ids(stemmed.select("term").distinct(), "number", ["term"], unique=True))
-    numbers = stemmed.join(vocabulary, "term").select("word", "number")
-    counts = words.join(numbers, "word").groupBy(key, "number").agg(F.sum("tf").alias("tf"))
-    return TermTable(vocabulary, cut_lineage(counts))
+def term_counts(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
+    """(key, term, tf) over stems of two letters or more. Words are stemmed where they are read: that costs less than
+    to bring each (document, word) to the stem of the word, and only (document, term) is shuffled, once."""
+    terms = stems(tokens(F.col(text), stop_words))
+    # not the inner explode: the optimizer would work out the terms a second time, to ask whether there are any
+    rows = docs.select(key, F.explode_outer(terms).alias("term")).where(F.length("term") > 1)
+    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def term_counts(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
-    """(key, term, tf) over stems of two letters or more."""
-    table = term_table(docs, key, text, stop_words)
-    return table.counts.join(table.vocabulary, "number").select(key, "term", "tf")
+def term_table(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> TermTable:
+    """Tokenise and stem once, number the stems of two letters or more. Both tables are written to the shared folder,
+    where counts, weights and clusters read them; terms repeated in a document fold before anything is shuffled."""
+    counts = cut_lineage(term_counts(docs, key, text, stop_words))
+    vocabulary = cut_lineage(dense_ids(counts.select("term").distinct(), "number", ["term"], unique=True))
+    return TermTable(vocabulary, cut_lineage(counts.join(vocabulary, "term").select(key, "number", "tf")))
 
 
-def term_weights(counts: DataFrame, key: str, document_total: int) -> DataFrame:
-    """(key, number, tf, df, weight): smoothed idf plus one, each document scaled to unit length.
+def term_weights(counts: DataFrame, key: str, document_total: int, term: str = "number") -> DataFrame:
+    """(key, term, tf, df, weight): smoothed idf plus one, each document scaled to unit length. Rows without a key count
+    for df, but get no weight.
 
-    A term that is in every document makes its join key hot; the joins are plain equi-joins, which adaptive
-    execution broadcasts or splits."""
-    frequencies = counts.groupBy("number").agg(F.count(F.lit(1)).alias("df"))
+    A term that is in every document makes its join key hot; the join is a plain equi-join, which adaptive execution
+    broadcasts or splits. The rows of a document end up side by side, so sums by document fold where they are read."""
+    frequencies = counts.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
+    met = counts.join(frequencies, term).where(F.col(key).isNotNull()).repartition(key)  # weights come after the shuffle
     idf = F.ln((F.lit(document_total) + 1) / (F.col("df") + 1)) + 1
-    weighted = counts.join(frequencies, "number").withColumn("w", F.col("tf") * idf)
-    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return weighted.join(lengths, key).select(key, "number", "tf", "df", (F.col("w") / F.col("len")).alias("weight"))
+    weighted = met.withColumn("w", F.col("tf") * idf)
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
+    return weighted.select(key, term, "tf", "df", (F.col("w") / length).alias("weight"))
 
 
 def tf_idf(docs: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
     """(key, term, tf, df, weight) of each document's stems."""
-    table = term_table(docs, key, text, stop_words)
-    weights = term_weights(table.counts, key, docs.count())
-    return weights.join(table.vocabulary, "number").select(key, "term", "tf", "df", "weight")
+    return term_weights(cut_lineage(term_counts(docs, key, text, stop_words)), key, docs.count(), "term")
 
 
 @dataclass

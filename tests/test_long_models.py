@@ -10,7 +10,7 @@ import pytest
 from conftest import rows
 from outorga.risk import components, kmeans, linear
 from outorga.risk.model import areas, confusion
-from outorga.risk.text import term_table, tf_idf
+from outorga.risk.text import term_counts, term_table, tf_idf
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,31 @@ def test_term_table_stems_each_word_once(spark):
     assert tf_idf(docs.where("id > 2"), "id", "text").count() == 0
 
 
+def test_terms_are_shuffled_once_and_worked_out_once(spark):
+    docs = spark.createDataFrame([(1, "escolas escola rua"), (None, "rua")], "id long, text string")
+    plan = term_counts(docs, "id", "text")._jdf.queryExecution().sparkPlan().toString()
+    exchanges = term_counts(docs, "id", "text")._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert exchanges == 1 and plan.count("regexp_extract_all") == 1
+
+
+def test_weights_without_a_key_and_repeated_keys(spark):
+    docs = spark.createDataFrame([(1, "rua rua"), (None, "rua casa"), (2, "casa"), (2, "rua"), (3, None)], "id long, text string")
+    got = rows(tf_idf(docs.repartition(3), "id", "text"), "id", "term", "tf", "df", F.round("weight", 6).alias("weight"))
+    casa, rua = math.log(6 / 3) + 1, math.log(6 / 4) + 1  # the row without a key counts for df, with its terms
+    length = math.hypot(casa, rua)
+    assert [r[:4] for r in got] == [(1, "rua", 2, 3), (2, "cas", 1, 2), (2, "rua", 1, 3)]
+    assert [r[4] for r in got] == [1.0, round(casa / length, 6), round(rua / length, 6)]
+
+
+def test_centres_leave_out_columns_that_round_to_zero(spark):
+    cells = [(i, "all", 900) for i in range(5)] + [(0, "rare", 2), (4, "minus", -2)]
+    points = spark.createDataFrame(cells, "key long, column string, x long")
+    members = spark.createDataFrame([(i, 0) for i in range(5)], "key long, cluster int")
+    assert rows(kmeans.centres_of(points, members, 2)) == [("all", [900, 0])]
+    given = spark.createDataFrame([("all", [900, 0]), ("rare", [1, 0])], "column string, c array<long>")
+    assert rows(kmeans.step(points, given, 2)) == [("all", [900, 0])]
+
+
 def cloud(n: int = 60, k: int = 3, d: int = 6):
     rng = np.random.default_rng(4)
     middle = rng.integers(1, 50, (k, d)) * (rng.random((k, d)) < 0.6)
