@@ -102,6 +102,18 @@ def test_dense_ids_spread_copies_of_one_row(spark):
     assert sorted(r["id"] for r in ids.collect()) == list(range(1, 1001))
 
 
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_dense_ids_sort_the_rows_once(spark):
+    df = spark.range(900).select((F.col("id") % 300).alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 11).alias("b"))
+    plan = final_plan(dense_ids(df, "id", ["a", "b"], run=2))
+    assert plan.count("Sort [_bucket#") == 2  # the rows, and the sizes of the buckets
+    assert "ReusedExchange" in plan
+
+
 def test_unique_dense_ids(spark):
     ids = dense_ids(spark.range(500).select(F.col("id").alias("k")), "n", ["k"], unique=True)
     got = rows(ids)
