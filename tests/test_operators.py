@@ -145,6 +145,15 @@ def test_override_of_hot_keys(spark, run):
     assert got.columns == ["k", "n", "x"] and rows(got) == ordered(want)
 
 
+def test_override_shuffles_the_left_side_for_its_counts_and_its_cells_only(spark):
+    left = spark.createDataFrame([(None if n % 3 else f"k{n}", n, "x") for n in range(200)], "k string, n int, x string").repartition(3)
+    right = spark.createDataFrame([(None, "y"), (None, "y"), ("k3", "z")], "k string, y string")
+    got = override(left, right, "k", "y", {"x": "y"}, run=20)
+    assert got.count() == 133 * 2 + 67
+    whole = [line for line in final_plan(got).splitlines() if "Exchange hashpartitioning" in line and "_hot#" not in line]
+    assert not [line for line in whole if "isnull(k#" in line and "_a#" not in line]
+
+
 def test_tables(spark):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([(2, 5.0)], "id int, size double")
