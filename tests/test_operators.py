@@ -36,6 +36,13 @@ def test_strip_matches_python(spark):
     assert column(spark, values, strip) == [None if v is None else v.strip() for v in values]
 
 
+def test_strip_looks_at_both_ends(spark):
+    rng = random.Random(1)
+    letters = [*fixed.WHITESPACE, "a", "!", "~", "\x00", "\x7f", "\x80", "é", "日", "😀"]
+    values = ["".join(rng.choice(letters) for _ in range(rng.randrange(6))) for _ in range(3000)]
+    assert column(spark, values, strip) == [v.strip(fixed.WHITESPACE) for v in values]
+
+
 def test_number_text(spark):
     values = ["12", "", "1a", "٣", "½", None, " 1"]
     assert column(spark, values, is_number_text) == [True, False, False, True, True, False, False]
