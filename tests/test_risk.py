@@ -125,3 +125,16 @@ def test_catalog_scores_live_grants_and_learns_from_finished_ones(spark, frame,
     for name in ("m7_components", "m8_classify", "m10_appended_predictions"):
         assert QUERIES[name](spark, "/nowhere").count() == 400
     assert 0 < learned[0].count() < 200 and learned[0].where(key % 2 == 0).count() == 0
+
+
+def test_payments_are_read_once_for_the_principal_supplier(spark, tmp_path):
+    ledger = spark.createDataFrame([
+        (1, "P", 7, 5), (1, "P", 8, 3), (1, "P", 8, 2), (1, "P", 9, 4), (2, "P", None, 6), (2, "P", 7, 1), (3, "P", 70, 1),
+        (3, "T", 7, 9), (4, "P", 6, 1), (4, "P", 70, 1)], "NR_CONVENIO long, TIPO_MOV string, FORNECEDOR_ID long, VALOR_MOV long")
+    suppliers = spark.createDataFrame([(7, "a"), (8, "b"), (9, "c"), (6, None)], "FORNECEDOR_ID long, IDENTIF_FORNECEDOR string")
+    ledger.repartition(3).write.parquet(f"{tmp_path}/ledger")
+    best = features.principal_supplier(spark.read.parquet(f"{tmp_path}/ledger"), suppliers)
+    assert best.columns == ["NR_CONVENIO", "PRINCIPAL_FORNECEDOR"]
+    assert sorted(map(tuple, best.collect())) == [(1, "b"), (4, None)]
+    plan = best._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
