@@ -36,3 +36,22 @@ def test_staging_moves_no_whole_rows(spark, stage_table, padded):
     assert rows(clean) == rows(clean_stage(raw, "emendas")) and clean.count() == 40
     if not padded:
         assert "Exchange" not in plan_of(clean)
+
+
+@pytest.mark.parametrize("copies", [1, 3, 70])
+def test_ids_of_kept_rows(spark, copies):
+    """Rows with more copies than a run are folded, others are not; the ids are those of the fold in both cases."""
+    n = F.col("id")
+    data = [spark.range(500).select((n % 100).alias("a"), F.when(n % 7 > 0, n).alias("b")),
+            spark.range(copies).select(F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))]
+    df = data[0].unionByName(data[1])
+    kept = dense_ids(df, "id", ["a", "b"], run=20, keep=cut_lineage)
+    assert rows(kept) == rows(dense_ids(df, "id", ["a", "b"], run=20))
+    assert [r[0] for r in sorted(rows(kept), key=lambda r: r[0])] == list(range(1, 501 + copies))
+    assert ("hashpartitioning(a#" in plan_of(kept)) == (copies == 70)  # the shuffle of the fold
+
+
+def test_ids_of_one_row_without_end(spark):
+    df = spark.range(1000).select(F.lit("same").alias("k"))
+    assert rows(dense_ids(df, "id", ["k"], run=10, keep=cut_lineage)) == rows(dense_ids(df, "id", ["k"], run=10))
+    assert rows(dense_ids(df.limit(0), "id", ["k"], keep=cut_lineage)) == []
