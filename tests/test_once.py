@@ -55,3 +55,12 @@ def test_ids_of_one_row_without_end(spark):
     df = spark.range(1000).select(F.lit("same").alias("k"))
     assert rows(dense_ids(df, "id", ["k"], run=10, keep=cut_lineage)) == rows(dense_ids(df, "id", ["k"], run=10))
     assert rows(dense_ids(df.limit(0), "id", ["k"], keep=cut_lineage)) == []
+
+
+def test_long_features_carry_columns(spark):
+    df = spark.createDataFrame([(1, "g", 2.0, "p"), (2, None, None, "q")], "r long, name string, a double, who string")
+    scale = linear.statistics(df, ["a"])
+    plain = linear.long_features(df, "r", scale, ["a"], [], ["who"])
+    carried = linear.long_features(df, "r", scale, ["a"], [], ["who"], carried=["name"])
+    assert rows(carried, "row", "column", "value") == rows(plain)
+    assert {(r["row"], r["name"]) for r in carried.collect()} == {(1, "g"), (2, None)}
