@@ -138,3 +138,24 @@ def test_payments_are_read_once_for_the_principal_supplier(spark, tmp_path):
     assert sorted(map(tuple, best.collect())) == [(1, "b"), (4, None)]
     plan = best._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") == 1
+
+
+def test_what_is_appended_to_a_prediction_is_worked_out_with_it(fitted, frame):
+    """Two columns appended one after the other are those appended alone, and the texts are stemmed once."""
+    def key(r):
+        return r["NR_CONVENIO"]
+
+    labelled = fitted.predict(frame, name="said")
+    both = fitted.predict(labelled, proba=True, name="chance")
+    parts = fitted.components(both)
+    assert parts.columns == [*frame.columns, "said", "chance", "components"]
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == fitted.components(frame)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+    got = {key(r): (r["said"], r["chance"], list(r["components"])) for r in parts.collect()}
+    said = {key(r): r["INSUCESSO"] for r in fitted.predict(frame).collect()}
+    chance = {key(r): r["INSUCESSO"] for r in fitted.predict(frame, proba=True).collect()}
+    alone = {key(r): list(r["components"]) for r in fitted.components(frame).collect()}
+    assert got == {k: (said[k], chance[k], alone[k]) for k in said}
+    # a column named like one of the pipeline's hides none of them
+    named = fitted.predict(frame, proba=True, name="prediction")
+    assert fitted._last is None and named.columns == [*frame.columns, "prediction"]
