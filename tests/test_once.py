@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import glob
+
 import pytest
 from conftest import rows
+from outorga.llm.common import stored
 from outorga.operators.keys import dense_ids
 from outorga.operators.tables import without_copies
 from outorga.risk import linear
@@ -64,3 +67,15 @@ def test_long_features_carry_columns(spark):
     carried = linear.long_features(df, "r", scale, ["a"], [], ["who"], carried=["name"])
     assert rows(carried, "row", "column", "value") == rows(plain)
     assert {(r["row"], r["name"]) for r in carried.collect()} == {(1, "g"), (2, None)}
+
+
+def test_codec_of_written_tables(spark):
+    df = spark.range(10)
+    assert all(".zstd." in path for path in parts(cut_lineage(df)))
+    assert not any(".zstd." in path for path in parts(stored(df)))  # the corpus operators keep the session's
+
+
+def parts(df) -> list[str]:
+    found = [path for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()} for path in glob.glob(f"{folder.removeprefix('file:').replace('//', '')}/*.parquet")]
+    assert found
+    return found
