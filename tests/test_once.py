@@ -5,6 +5,8 @@ from __future__ import annotations
 import glob
 
 import pytest
+from catalog import marts  # noqa: F401  (registers its queries)
+from catalog.registry import QUERIES
 from conftest import rows
 from outorga.llm.common import stored
 from outorga.operators.keys import dense_ids
@@ -79,3 +81,31 @@ def parts(df) -> list[str]:
     found = [path for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()} for path in glob.glob(f"{folder.removeprefix('file:').replace('//', '')}/*.parquet")]
     assert found
     return found
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Forty orders of eight customers, two lines each."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    day = "timestamp'1995-01-01' + make_interval(0, 0, 0, cast(id as int))"
+    orders = spark.range(1, 41).selectExpr(
+        "id o_orderkey", "id % 8 + 1 o_custkey", "if(id % 3 = 0, 'O', 'F') o_orderstatus", "id * 100.0D o_totalprice",
+        f"{day} o_orderdate", "concat(id % 3, '-HIGH') o_orderpriority")
+    customer = spark.range(1, 9).selectExpr(
+        "id c_custkey", "concat('Customer#', id) c_name", "cast(id as int) c_nationkey", "1.0D c_acctbal", "if(id % 2 = 0, 'BUILDING', 'MACHINERY') c_mktsegment")
+    lineitem = spark.range(80).selectExpr(
+        "id div 2 + 1 l_orderkey", "id + 1 l_partkey", "id % 9 + 1 l_suppkey", "cast(id % 2 + 1 as int) l_linenumber", "2.0D l_quantity",
+        "id * 10.0D + 5 l_extendedprice", "0.05D l_discount", "0.02D l_tax", "if(id % 4 = 0, 'R', 'N') l_returnflag", "if(id % 3 = 0, 'O', 'F') l_linestatus",
+        f"{day} l_shipdate")
+    for name, df in {"orders": orders, "customer": customer, "lineitem": lineitem}.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name, sums, joins", [("m6_long_features", 1, 0), ("m8_linear_scores", 2, 4)])
+def test_cells_are_read_once_for_each_sum(spark, tables, name, sums, joins):
+    """The weights of the columns are written down, and cells don't meet the frame again for the number of the grant."""
+    found = QUERIES[name](spark, tables)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("Generate inline"), plan.count("Join ")) == (sums, joins)
+    assert found.count() > 0
