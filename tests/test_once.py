@@ -102,7 +102,7 @@ def tables(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name, sums, joins", [("m6_long_features", 1, 0), ("m8_linear_scores", 2, 4)])
+@pytest.mark.parametrize("name, sums, joins", [("m6_long_features", 1, 0), ("m8_linear_scores", 2, 4), ("m10_linear_appended", 1, 2)])
 def test_cells_are_read_once_for_each_sum(spark, tables, name, sums, joins):
     """The weights of the columns are written down, and cells don't meet the frame again for the number of the grant."""
     found = QUERIES[name](spark, tables)
