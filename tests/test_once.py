@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import glob
+import os
 
 import pytest
-from catalog import marts  # noqa: F401  (registers its queries)
-from catalog.registry import QUERIES
+from catalog import marts
+from catalog.registry import QUERIES, Inputs
 from conftest import rows
+from outorga.operators import tables as tables_
 from outorga.llm.common import stored
 from outorga.operators.keys import dense_ids
+from outorga.operators.ranking import top_with_ties
 from outorga.operators.tables import without_copies
-from outorga.risk import linear
+from outorga.plans import ledger
+from outorga.risk import features, linear
 from outorga.session import cut_lineage
 from outorga.sources.stage import clean_stage
 from pyspark.sql import functions as F
@@ -109,3 +113,66 @@ def test_cells_are_read_once_for_each_sum(spark, tables, name, sums, joins):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert (plan.count("Generate inline"), plan.count("Join ")) == (sums, joins)
     assert found.count() > 0
+
+
+def test_rows_of_one_digest_are_left_alone_unless_they_are_copies(spark):
+    df = cut_lineage(spark.createDataFrame([("a", None), (None, "a"), ("b", "c")], "x string, y string"))
+    alone = without_copies(df)
+    assert len(rows(alone)) == 3 and "Join" not in plan_of(alone)
+
+
+def test_digests_are_shuffled_in_lists(spark, monkeypatch):
+    df = cut_lineage(spark.range(5000).selectExpr("cast(id % 4990 as string) x", "id % 7 * 0 y").repartition(2))
+    found = []
+    monkeypatch.setattr(tables_, "cut_lineage", lambda df: found.append(plan_of(df)) or cut_lineage(df))
+    assert without_copies(df).count() == 4990
+    assert "collect_list" in found[0] and "hashpartitioning(_list" in found[0] and "hashpartitioning(_digest" not in found[0]
+
+
+def test_ids_shuffle_the_keys_alone(spark):
+    df = spark.range(200).select((F.col("id") % 9).alias("a"), F.col("id").alias("b"))
+    plan = plan_of(dense_ids(df, "id", ["a", "b"], unique=True))
+    assert "hashpartitioning(substring(md5(" in plan and "hashpartitioning(_bucket" not in plan
+
+
+def test_deltas_of_ids(spark):
+    ids = spark.range(300_000).coalesce(1)
+    plain, deltas = (cut_lineage(ids, codec="uncompressed", deltas=d) for d in (False, True))
+    assert sum(map(os.path.getsize, parts(deltas))) * 10 < sum(map(os.path.getsize, parts(plain)))
+    assert deltas.agg(F.sum("id"), F.count("id")).first() == plain.agg(F.sum("id"), F.count("id")).first()
+
+
+def test_winners_of_gathered_groups(spark):
+    data = [("a", 3, "x"), ("a", 3, "y"), ("a", 1, "z"), ("b", None, "x"), (None, 9, "x"), ("c", -2, "x")]
+    df = spark.createDataFrame(data, "g string, v int, n string")
+    gathered = df.repartition("g")
+    assert rows(top_with_ties(gathered, "g", "v", gathered=True)) == rows(top_with_ties(df, "g", "v")) != []
+    assert plan_of(top_with_ties(gathered, "g", "v", gathered=True)).count("Exchange") == 1
+
+
+def test_marts_of_both_orders_hold_the_same_rows(spark, tables):
+    i = Inputs(spark, tables)
+    ordered, other = (marts.mart(i, in_order) for in_order in (True, False))
+    assert ordered.keys() == other.keys()
+    for name, df in ordered.items():
+        assert rows(df) == rows(other[name]) != [], name
+    stage = i.staged(in_order=False)
+    assert all("Exchange" not in plan_of(stage[name]) for name in ("convenios", "proponentes"))
+
+
+def test_principals_are_found_once_for_two_frames(spark, tables):
+    mart = marts.mart(Inputs(spark, tables))
+    want = rows(features.feature_frame(mart["convenios"], mart))
+    best = features.principals(mart, mart["convenios"].select("NR_CONVENIO").distinct())
+    given = {name: df for name, df in mart.items() if name in ("convenios", "proponentes")} | best  # no ledger to ask
+    assert rows(features.feature_frame(mart["convenios"], given)) == want != []
+    live = features.live(mart["convenios"])
+    assert rows(features.feature_frame(live, given)) == rows(features.feature_frame(live, mart)) != []
+
+
+def test_payments_are_written_down_once(spark, tables):
+    mart = marts.mart(Inputs(spark, tables))
+    kept = []
+    ledger.movimento(Inputs(spark, tables).staged(), mart["convenios"], mart["fornecedores"], keep_legs=lambda df: kept.append(df) or cut_lineage(df))
+    kinds = {r[0] for df in kept for r in df.select("TIPO_MOV").distinct().collect()}
+    assert kinds and "P" not in kinds and mart["movimento"].where("TIPO_MOV = 'P'").count() > 0
