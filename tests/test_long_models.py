@@ -11,6 +11,7 @@ from conftest import rows
 from outorga.risk import components, kmeans, linear
 from outorga.risk.model import areas, confusion
 from outorga.risk.text import term_counts, term_table, tf_idf
+from outorga.session import cut_lineage
 from pyspark.sql import functions as F
 
 
@@ -98,6 +99,27 @@ def test_clusters_do_not_depend_on_partitions(spark):
     assert kmeans.seeds(same, 3).count() == 1 and kmeans.assigned(same, kmeans.fit(same, 2), 2).count() == 2
 
 
+def test_steps_leave_the_points_where_they_are(spark, monkeypatch):
+    """Members that are too many for a broadcast come to the points; the points are not shuffled for each step."""
+    points, plans = cut_lineage(as_points(spark, cloud(), 3)), []
+    want = rows(kmeans.fit(points, 3, steps=2), F.sort_array("c").alias("c"), "column")
+    keep = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(keep)
+
+    def noted(points_, members, k, whole=kmeans.centres_of):
+        plans.append(points_.join(members, "key")._jdf.queryExecution().executedPlan().toString())
+        return whole(points_, members, k)
+
+    monkeypatch.setattr(kmeans, "centres_of", noted)
+    spark.conf.set(keep, "-1")
+    try:
+        assert rows(kmeans.fit(points, 3, steps=2), F.sort_array("c").alias("c"), "column") == want != []
+    finally:
+        spark.conf.set(keep, before)
+    held = [p.split("InMemoryRelation")[0] for p in plans]
+    assert len(held) > 3 and all("InMemoryTableScan" in p and p.count("Exchange hashpartitioning") <= 1 for p in held)
+
+
 @pytest.fixture(scope="module")
 def frame(spark):
     rng = random.Random(8)
