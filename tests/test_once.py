@@ -161,7 +161,7 @@ def test_marts_of_both_orders_hold_the_same_rows(spark, tables):
 
 
 def test_principals_are_found_once_for_two_frames(spark, tables):
-    given = marts.mart(Inputs(spark, tables))
+    given = marts.mart(Inputs(spark, tables), in_order=False)
     mart = {name: df for name, df in given.items() if name not in ("politicians", "paid_most")}
     want = rows(features.feature_frame(mart["convenios"], mart))
     given = {name: df for name, df in given.items() if name not in ("movimento", "emendas_convenios")}  # no ledger to ask
@@ -171,7 +171,7 @@ def test_principals_are_found_once_for_two_frames(spark, tables):
 
 
 def test_payments_are_written_down_once(spark, tables):
-    mart = marts.mart(Inputs(spark, tables))
+    mart = marts.mart(Inputs(spark, tables), in_order=False)
     kept = []
     ledger.movimento(Inputs(spark, tables).staged(), mart["convenios"], mart["fornecedores"], keep_legs=lambda df: kept.append(df) or cut_lineage(df))
     kinds = {r[0] for df in kept for r in df.select("TIPO_MOV").distinct().collect()}
